@@ -30,6 +30,7 @@ def local_session(threads: int | str = "*", shuffle_partitions: int = 8, **conf:
         SparkSession.builder.master(f"local[{threads}]")
         .appName("ratingloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "12g")
@@ -42,18 +43,20 @@ def local_session(threads: int | str = "*", shuffle_partitions: int = 8, **conf:
     return configure(spark)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint that outlives lost executors.
-
-    The folder is the one the session names; only a local master may fall back to a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder the session names. Only a local master may fall back to a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="ratingloom-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="ratingloom-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint that outlives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
