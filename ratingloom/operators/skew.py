@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PIECE = "__piece"
-MIN_ROWS_CONF = "ratingloom.skew.minRows"
+MIN_ROWS_CONF = "spark.ratingloom.skew.minRows"
 DEFAULT_MIN_ROWS = 1_000_000
 MAX_SHARE = 1 / 2000  # at most 2000 keys can hold more than this share, which bounds the cut table
 
@@ -77,5 +78,5 @@ def find_cuts(df: DataFrame, key: str, order: str, min_rows: int | None = None)
     for row in quantiles:
         step = max(1, largest // size_of[row[key]])
         cuts.append((row[key], sorted(set(row["__cuts"][step - 1 :: step]))))
-    fields = schema.add("__cuts", "array<bigint>")
+    fields = T.StructType([*schema.fields, T.StructField("__cuts", T.ArrayType(T.LongType()))])
     return KeyCuts(key, order, spark.createDataFrame(cuts, fields))

@@ -1,0 +1,212 @@
+"""Top lists, similarity and candidates."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ratingloom.functions.vectors import unit
+from ratingloom.operators import ranking, similarity, stats
+from ratingloom.operators.models import batch_score, mean_vectors
+from ratingloom.operators.ordered import top_per_key
+from ratingloom.plans import feature_job
+from ratingloom.plans.catalog.base import joined, query, rounded, scratch
+from ratingloom.plans.catalog.statistics import POPULARITY_SQL
+from ratingloom.sources import files, views
+
+DIMENSION = 64
+
+
+def _unit_sql(v: str) -> str:
+    return f"list_transform({v}, lambda x: x / sqrt(list_dot_product({v}, {v})))"
+
+
+# Cosine neighbours, rescored lists, the user vectors and the best items per user.
+RECS: dict[str, str] = {
+    "units": f"SELECT item_id, vector, {_unit_sql('vector')} AS u FROM vectors",
+    "neighbours": """SELECT * FROM (SELECT a.item_id AS query_id, b.item_id, round(list_dot_product(a.u, b.u), 9) AS score,
+        row_number() OVER (PARTITION BY a.item_id ORDER BY round(list_dot_product(a.u, b.u), 9) DESC, b.item_id) AS rank
+        FROM units a, units b WHERE a.item_id <> b.item_id) WHERE rank <= 100""",
+    "similar_items": """SELECT * FROM (SELECT query_id, n.item_id, s AS score,
+        row_number() OVER (PARTITION BY query_id ORDER BY s DESC, n.item_id) AS rank FROM (
+        SELECT n.query_id, n.item_id, round(1 / (1 + exp(-list_dot_product(a.vector, b.vector))), 9) AS s
+        FROM neighbours n JOIN vectors a ON n.query_id = a.item_id JOIN vectors b ON n.item_id = b.item_id) n)
+        WHERE rank <= 10""",
+    "user_parts": """SELECT user_id, pos, avg(v) AS v FROM (SELECT user_id, unnest(vector) AS v,
+        generate_subscripts(vector, 1) AS pos FROM interactions JOIN vectors USING (item_id)) GROUP BY 1, 2""",
+    "user_vectors": "SELECT user_id, list(v ORDER BY pos) AS vector FROM user_parts GROUP BY user_id",
+    "user_scores": """SELECT u.user_id, v.item_id, round(list_dot_product(u.vector, v.vector), 9) AS score
+        FROM user_vectors u, vectors v""",
+    "recs": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+        FROM user_scores) WHERE rank <= 10""",
+}
+
+
+@query("t1_popular_items", "SELECT item_id, score, CAST(row_number() OVER (ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM popularity ORDER BY score DESC, item_id LIMIT 500", {"popularity": POPULARITY_SQL})
+def t1_popular_items(spark, folder):
+    return ranking.popular_items(stats.popularity(views.item_ratings(spark, folder)))
+
+
+def neighbours(spark, folder):
+    units = similarity.as_vectors(views.vectors(spark, folder), "item_id", unit(F.col("vector")))
+    return similarity.best_pairs(units, units, ranking.SIMILAR_CANDIDATES, skip_same=True)
+
+
+def similar_items(spark, folder):
+    raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
+    return ranking.similar_items(neighbours(spark, folder), raw)
+
+
+def similar_lists(spark, folder):
+    return ranking.recommendation_lists(similar_items(spark, folder))
+
+
+SIMILAR_SQL = "SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM {view}"
+
+
+@query("t2_similar_items", SIMILAR_SQL.format(view="similar_items"), RECS)
+def t2_similar_items(spark, folder):
+    return similar_items(spark, folder).withColumn("score", rounded("score"))
+
+
+@query(
+    "t3_similar_by_dot",
+    """SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM (
+       SELECT a.item_id AS query_id, b.item_id, round(list_dot_product(a.vector, b.vector), 9) AS score, row_number() OVER (
+       PARTITION BY a.item_id ORDER BY round(list_dot_product(a.vector, b.vector), 9) DESC, b.item_id) AS rank
+       FROM vectors a, vectors b WHERE a.item_id <> b.item_id) WHERE rank <= 10""",
+)
+def t3_similar_by_dot(spark, folder):
+    raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
+    return similarity.best_pairs(raw, raw, 10, skip_same=True).withColumn("score", rounded("score"))
+
+
+@query(
+    "t4_recent_purchases",
+    """SELECT r.user_id, r.item_id, r.ts_ms, CAST(r.rank AS INTEGER) AS rank, i.title,
+       'https://via.placeholder.com/300x300?text=No+Image' AS image_url, array_to_string(i.categories, '|') AS categories
+       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_ts DESC, item_id) AS rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_ts DESC, item_id DESC) AS back
+         FROM interactions) WHERE back <= 10) r JOIN items i USING (item_id) WHERE r.rank <= 5""",
+)
+def t4_recent_purchases(spark, folder):
+    history = feature_job.current_history(views.interactions(spark, folder))
+    shown = ranking.recent_purchases(history, views.items(spark, folder))
+    return shown.select(
+        "user_id", "item_id", (F.unix_seconds("event_ts") * 1000).alias("ts_ms"), "rank", "title", "image_url",
+        joined("categories", "|").alias("categories"),
+    )
+
+
+def user_vectors(spark, folder):
+    """Mean vector of the items a user rated."""
+    rows = views.interactions(spark, folder).select("user_id", "item_id")
+    return mean_vectors(rows, "user_id", views.vectors(spark, folder), DIMENSION)
+
+
+def user_recs(spark, folder, k: int = ranking.RECOMMENDED):
+    """Best k items per user by score: user_id, item_id, score, rank."""
+    users = similarity.as_vectors(user_vectors(spark, folder), "user_id", "vector")
+    raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
+    return similarity.best_pairs(users, raw, k).withColumnRenamed("query_id", "user_id")
+
+
+@query("t5_topk_per_user", "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM recs", RECS)
+def t5_topk_per_user(spark, folder):
+    return user_recs(spark, folder).withColumn("score", rounded("score"))
+
+
+@query(
+    "j9_cross_score",
+    """SELECT user_id, count(*) AS n_scored, round(min(score), 6) AS low, round(max(score), 6) AS high FROM (
+       SELECT u.user_id, list_dot_product(u.vector, v.vector) AS score FROM user_vectors u, vectors v) GROUP BY user_id""",
+    RECS,
+)
+def j9_cross_score(spark, folder):
+    users = similarity.as_vectors(user_vectors(spark, folder), "user_id", "vector")
+    raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
+    found = similarity.score_all(users, raw).withColumnRenamed("query_id", "user_id")
+    return found.withColumns({c: rounded(c) for c in ("low", "high")})
+
+
+CANDIDATES: dict[str, str] = {
+    **RECS,
+    "popularity": POPULARITY_SQL,
+    "popular": "SELECT item_id, row_number() OVER (ORDER BY score DESC, item_id) AS rank FROM popularity QUALIFY rank <= 20",
+    "newest": """SELECT * FROM (SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id
+        ORDER BY ts_ms DESC, event_ts DESC, item_id DESC) AS back FROM interactions) WHERE back <= 10""",
+    "last_items": "SELECT user_id, item_id AS last_item FROM newest WHERE back = 1",
+    "offered": """SELECT user_id, last_item, item_id, min(place) AS place FROM (
+        SELECT l.user_id, l.last_item, s.item_id, s.rank AS place FROM last_items l JOIN similar_items s ON l.last_item = s.query_id
+        UNION ALL SELECT l.user_id, l.last_item, p.item_id, 1000 + p.rank FROM last_items l, popular p) GROUP BY ALL""",
+    "candidates": """SELECT * FROM (SELECT o.*, row_number() OVER (PARTITION BY user_id ORDER BY place) AS position
+        FROM offered o ANTI JOIN newest n ON o.user_id = n.user_id AND o.item_id = n.item_id) WHERE position <= 100""",
+}
+
+
+def candidates(spark, folder):
+    """Candidate rows of every user."""
+    history = feature_job.current_history(views.interactions(spark, folder))
+    users = history.select("user_id", "last_item", F.col("hist.item_id").alias("seen"))
+    popular = ranking.popular_items(stats.popularity(views.item_ratings(spark, folder)), ranking.POPULAR_CANDIDATES)
+    ids = [r["item_id"] for r in popular.orderBy("rank").collect()]  # twenty at most
+    return ranking.candidate_rows(users, similar_items(spark, folder), ids)
+
+
+@query(
+    "t6_rank_candidates",
+    """SELECT user_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT user_id, item_id, score,
+       row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
+       SELECT c.user_id, c.item_id, round(1 / (1 + exp(-list_dot_product(a.vector, b.vector))), 9) AS score
+       FROM candidates c JOIN vectors a ON c.last_item = a.item_id JOIN vectors b ON c.item_id = b.item_id))
+       WHERE rank <= 10""",
+    CANDIDATES,
+)
+def t6_rank_candidates(spark, folder):
+    """Candidates with the vectors of the user's last item and their own, scored in batches, best ten kept."""
+    vectors = views.vectors(spark, folder)
+    target = vectors.select(F.col("item_id").alias("last_item"), F.col("vector").alias("target_vector"))
+    item = vectors.select("item_id", F.col("vector").alias("item_vector"))
+    rows = candidates(spark, folder).join(target, "last_item").join(item, "item_id")
+    scored = batch_score(rows, keep=["user_id", "item_id"]).withColumn("score", F.round("score", 9))
+    best = top_per_key(scored, ["user_id"], [F.desc("score"), F.asc("item_id")], ranking.RECOMMENDED, rank="rank")
+    return best.withColumn("score", rounded("score"))
+
+
+@query(
+    "t7_vector_search",
+    f"""SELECT label AS query_id, item_id, CAST(rank AS INTEGER) AS rank, round(1 - score, 6) AS distance FROM (
+        SELECT q.label, i.item_id, round(list_dot_product(q.u, i.u), 9) AS score, row_number() OVER (PARTITION BY q.label
+        ORDER BY round(list_dot_product(q.u, i.u), 9) DESC, i.item_id) AS rank
+        FROM (SELECT label, {_unit_sql('vector')} AS u FROM (SELECT label, list(v ORDER BY pos) AS vector FROM (
+          SELECT label, pos, avg(v) AS v FROM (SELECT label, unnest(vector) AS v, generate_subscripts(vector, 1) AS pos
+          FROM vectors) GROUP BY 1, 2) GROUP BY label)) q,
+        (SELECT item_id, u FROM units JOIN part ON item_id = p_partkey WHERE p_type = 'ECONOMY') i) WHERE rank <= 10""",
+    RECS,
+)
+def t7_vector_search(spark, folder):
+    """Ten nearest items of type ECONOMY to the mean vector of every label."""
+    vectors = views.vectors(spark, folder)
+    centres = mean_vectors(vectors.select("label", "item_id"), "label", vectors.drop("label"), DIMENSION)
+    parts = views.table(spark, folder, "part", "p_partkey", "p_type").where(F.col("p_type") == "ECONOMY")
+    allowed = vectors.join(parts, vectors.item_id == parts.p_partkey, "left_semi")
+    found = similarity.best_pairs(
+        similarity.as_vectors(centres.withColumn("label", F.col("label").cast("long")), "label", unit(F.col("vector"))),
+        similarity.as_vectors(allowed, "item_id", unit(F.col("vector"))),
+        10,
+    )
+    return found.select(F.col("query_id").cast("int").alias("query_id"), "item_id", "rank", rounded(1 - F.col("score")).alias("distance"))
+
+
+@query(
+    "sink_recs_jsonl",
+    """SELECT query_id AS target_item, array_to_string(list(item_id ORDER BY rank), ',') AS rec_item_ids,
+       round(max(score), 6) AS best_score FROM similar_items GROUP BY query_id""",
+    RECS,
+)
+def sink_recs_jsonl(spark, folder):
+    path = scratch(spark, "recs")
+    files.write_recommendations(similar_lists(spark, folder), path)
+    lists = files.read_recommendations(spark, path, "bigint")
+    return lists.select(
+        "target_item", joined("rec_item_ids").alias("rec_item_ids"), rounded(F.array_max("rec_scores")).alias("best_score")
+    )
