@@ -1,0 +1,280 @@
+"""Dictionaries, encoders, vectors and models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ratingloom.functions.vectors import unit
+from ratingloom.operators import models
+from ratingloom.operators.dictionary import build_dictionary, map_ids, sequence_to_index
+from ratingloom.operators.encoders import (
+    CategoryCounts,
+    ItemEncoder,
+    OneHot,
+    ScaledPrice,
+    Standardised,
+    term_vocabulary,
+    terms,
+    tfidf,
+)
+from ratingloom.operators.ordered import first_per_key
+from ratingloom.operators.skew import find_cuts
+from ratingloom.operators.skipgram import sequence_positions, skipgram_pairs
+from ratingloom.plans import feature_job
+from ratingloom.plans.catalog.base import joined, query, rounded
+from ratingloom.plans.catalog.ranking import DIMENSION
+from ratingloom.plans.catalog.rows import SEQUENCES
+from ratingloom.plans.catalog.windows import HISTORY, ITEM_STATS, item_stats, sequence_rows
+from ratingloom.session import durable
+from ratingloom.sources import views
+
+DICTIONARY_SQL = "SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS idx FROM (SELECT DISTINCT {key} FROM {view})"
+
+
+@query(
+    "m1_id_dictionary",
+    f"""SELECT 'user_id' AS key_name, user_id AS id, idx FROM ({DICTIONARY_SQL.format(key='user_id', view='interactions')})
+        UNION ALL SELECT 'item_id', item_id, idx FROM ({DICTIONARY_SQL.format(key='item_id', view='interactions')})""",
+)
+def m1_id_dictionary(spark, folder):
+    rows = views.interactions(spark, folder)
+    parts = [
+        build_dictionary(rows, key).select(F.lit(key).alias("key_name"), F.col(key).alias("id"), "idx")
+        for key in ("user_id", "item_id")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "m2_map_ids",
+    """SELECT i.user_id, i.item_id, i.ts_ms, coalesce(u.idx, (SELECT count(*) FROM users)) AS user_indice,
+       coalesce(d.idx, (SELECT count(*) FROM known_items)) AS item_indice FROM interactions i LEFT JOIN users u USING (user_id)
+       LEFT JOIN known_items d USING (item_id)""",
+    {
+        "early": "SELECT * FROM interactions WHERE ts_ms < 820454400000",
+        "users": DICTIONARY_SQL.format(key="user_id", view="early"),
+        "known_items": DICTIONARY_SQL.format(key="item_id", view="early"),
+    },
+)
+def m2_map_ids(spark, folder):
+    """Indices fitted on the ratings before 1996; later users and items are unknown."""
+    rows = views.interactions(spark, folder).select("user_id", "item_id", "ts_ms")
+    early = rows.where(F.col("ts_ms") < 820_454_400_000)
+    for key, name in (("user_id", "user_indice"), ("item_id", "item_indice")):
+        dictionary = build_dictionary(early, key)
+        rows = map_ids(rows, dictionary, key, name, dictionary.count())
+    return rows
+
+
+@query(
+    "m3_sequence_to_index",
+    """SELECT user_id, item_id, ts_ms, array_to_string(list_concat(list_transform(range(10 - coalesce(len(hist_items), 0)),
+       lambda i: CAST(-1 AS BIGINT)), coalesce(seq, [])), ',') AS item_sequence FROM longest LEFT JOIN (
+       SELECT user_id, event_ts, list(coalesce(idx, (SELECT count(*) FROM known_items)) ORDER BY p) AS seq FROM (
+         SELECT user_id, event_ts, unnest(hist_items) AS h, generate_subscripts(hist_items, 1) AS p FROM longest)
+       LEFT JOIN known_items k ON h = k.item_id GROUP BY 1, 2) USING (user_id, event_ts)""",
+    {**HISTORY, "known_items": DICTIONARY_SQL.format(key="item_id", view="(SELECT * FROM interactions WHERE ts_ms < 820454400000)")},
+)
+def m3_sequence_to_index(spark, folder):
+    rows = sequence_rows(spark, folder)
+    history = feature_job.longest_per_user_ts(
+        feature_job.user_history(rows, find_cuts(rows, "user_id", "ts_ms"), mark_last=True)
+    ).select("user_id", "item_id", "ts_ms", F.col("hist.item_id").alias("recent"))
+    known = build_dictionary(views.interactions(spark, folder).where(F.col("ts_ms") < 820_454_400_000), "item_id")
+    history = history.withColumnRenamed("item_id", "current_item")
+    full = sequence_to_index(history, ["user_id", "ts_ms"], "recent", known, known.count())
+    return full.select("user_id", F.col("current_item").alias("item_id"), "ts_ms", joined("item_sequence").alias("item_sequence"))
+
+
+# Items with the statistics of their first row; fitted on the items seen before the cut.
+FRAME: dict[str, str] = {
+    **ITEM_STATS,
+    "frame": """SELECT f.*, i.main_category, i.categories, i.price,
+        CAST(regexp_extract(i.price, '[0-9]+[.][0-9]+') AS DOUBLE) AS amount FROM (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY ts_ms DESC) AS rn FROM item_stats) f
+        JOIN items i USING (item_id) WHERE rn = 1""",
+    "fit": "SELECT f.* FROM frame f SEMI JOIN (SELECT item_id FROM item_stats WHERE ts_ms < 820454400000) e USING (item_id)",
+}
+
+
+def encoder_frame(spark, folder):
+    """(all items, fit items): newest statistics row per item with metadata."""
+    stats = durable(item_stats(spark, folder))
+    newest = first_per_key(stats, ["item_id"], [F.desc("ts_ms")])
+    frame = newest.join(views.items(spark, folder).drop("title"), "item_id")
+    early = stats.where(F.col("ts_ms") < 820_454_400_000).select("item_id").distinct()
+    return frame, frame.join(early, "item_id", "left_semi")
+
+
+@query(
+    "m4_one_hot",
+    """SELECT item_id, main_category, array_to_string(list_transform((SELECT list(c ORDER BY c) FROM (SELECT DISTINCT main_category AS c
+       FROM fit)), lambda c: CASE WHEN c = main_category THEN 1 ELSE 0 END), ',') AS one_hot FROM frame""",
+    FRAME,
+)
+def m4_one_hot(spark, folder):
+    frame, fit = encoder_frame(spark, folder)
+    flags = OneHot.fit(fit, "main_category")()
+    return frame.select("item_id", "main_category", joined(flags.cast("array<int>")).alias("one_hot"))
+
+
+@query(
+    "m5_category_counts",
+    """SELECT item_id, array_to_string(list_transform((SELECT list(c ORDER BY c) FROM (SELECT DISTINCT lower(unnest(categories)) AS c
+       FROM fit)), lambda c: len(list_filter(categories, lambda t: lower(t) = c))), ',') AS counts FROM frame""",
+    FRAME,
+)
+def m5_category_counts(spark, folder):
+    frame, fit = encoder_frame(spark, folder)
+    counts = CategoryCounts.fit(fit, "categories")()
+    return frame.select("item_id", joined(counts.cast("array<int>")).alias("counts"))
+
+
+@query(
+    "m6_price_scaled",
+    """SELECT item_id, round((amount - (SELECT min(amount) FROM fit)) / (SELECT max(amount) - min(amount) FROM fit), 6) AS price_scaled
+       FROM frame""",
+    FRAME,
+)
+def m6_price_scaled(spark, folder):
+    frame, fit = encoder_frame(spark, folder)
+    return frame.select("item_id", rounded(ScaledPrice.fit(fit, "price")()).alias("price_scaled"))
+
+
+def _z_sql(c: str) -> str:
+    v = f"coalesce(CAST({c} AS DOUBLE), 0)"
+    return (
+        f"round(({v} - (SELECT avg({v}) FROM fit)) / (SELECT CASE WHEN stddev_pop({v}) = 0 THEN 1 ELSE stddev_pop({v}) END"
+        f" FROM fit), 6) + 0.0 AS {c}"
+    )
+
+
+@query("m7_rating_standardised", f"SELECT item_id, {', '.join(_z_sql(c) for c in feature_job.ITEM_STAT_COLUMNS)} FROM frame", FRAME)
+def m7_rating_standardised(spark, folder):
+    frame, fit = encoder_frame(spark, folder)
+    scaler = Standardised.fit(fit, feature_job.ITEM_STAT_COLUMNS)
+    return frame.select("item_id", *[rounded(v).alias(c) for c, v in zip(scaler.columns, scaler.each())])
+
+
+_STAT_PARTS = " UNION ALL ".join(
+    f"SELECT item_id, 1000000 + {i} AS part, coalesce(CAST({c} AS DOUBLE), 0) AS v FROM frame"
+    for i, c in enumerate(feature_job.ITEM_STAT_COLUMNS)
+)
+
+
+@query(
+    "m8_item_vector",
+    """SELECT item_id, CAST(dense_rank() OVER (ORDER BY part) - 1 AS INTEGER) AS pos, round((v - m) / CASE WHEN d < 1e-12 THEN 1 ELSE d END, 5)
+       + 0.0 AS value FROM long_form JOIN (SELECT part, avg(v) AS m, stddev_pop(v) AS d FROM long_form
+       SEMI JOIN fit USING (item_id) GROUP BY part) USING (part)""",
+    {
+        **FRAME,
+        "long_form": f"""SELECT item_id, rank AS part, CASE WHEN c = main_category THEN 1.0 ELSE 0.0 END AS v FROM frame,
+            (SELECT c, row_number() OVER (ORDER BY c) AS rank FROM (SELECT DISTINCT main_category AS c FROM fit))
+            UNION ALL SELECT item_id, 1000 + rank, len(list_filter(categories, lambda t: lower(t) = c)) FROM frame,
+            (SELECT c, row_number() OVER (ORDER BY c) AS rank FROM (SELECT DISTINCT lower(unnest(categories)) AS c FROM fit))
+            UNION ALL SELECT item_id, 500000, amount FROM frame UNION ALL {_STAT_PARTS}""",
+    },
+)
+def m8_item_vector(spark, folder):
+    """All encoders side by side, standardised; one row per item and position."""
+    frame, fit = encoder_frame(spark, folder)
+    encoder = ItemEncoder.fit(fit, feature_job.ITEM_STAT_COLUMNS)
+    return frame.select("item_id", F.posexplode(encoder()).alias("pos", "value")).withColumn("value", rounded("value", 5))
+
+
+TERMS: dict[str, str] = {
+    "words": r"SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS w FROM documents",
+    "grams": """SELECT doc_id, unnest(w) AS term FROM words UNION ALL
+        SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words""",
+    "counted": "SELECT doc_id, term, count(*) AS n FROM grams GROUP BY ALL",
+    "vocabulary": """SELECT term, df, ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf FROM (
+        SELECT term, count(*) AS df, sum(n) AS total FROM counted GROUP BY term) WHERE df >= 5 ORDER BY total DESC, term LIMIT 1000""",
+    "weighted": "SELECT doc_id, term, n * idf AS w FROM counted JOIN vocabulary USING (term)",
+}
+
+
+@query(
+    "m9_text_tfidf",
+    """SELECT doc_id, term, round(w / l, 6) AS weight FROM weighted JOIN (SELECT doc_id, sqrt(sum(w * w)) AS l FROM weighted
+       GROUP BY doc_id) USING (doc_id)""",
+    TERMS,
+)
+def m9_text_tfidf(spark, folder):
+    documents = views.table(spark, folder, "documents", "doc_id", "text")
+    counted = durable(terms(documents, "doc_id", "text"))
+    vocabulary = term_vocabulary(counted, documents.agg(F.count(F.lit(1))).scalar())
+    return tfidf(counted, vocabulary, "doc_id").withColumn("weight", rounded("weight"))
+
+
+def training_pairs(spark, folder):
+    return skipgram_pairs(sequence_positions(views.interactions(spark, folder)))
+
+
+@query("m14_item_embeddings")
+def m14_item_embeddings(spark, folder):
+    """Item vectors learned from the skip-gram pairs."""
+    rows = views.interactions(spark, folder)
+    vectors = models.learn_item_vectors(training_pairs(spark, folder), build_dictionary(rows, "item_id"), dimension=16, iterations=3)
+    return vectors.select("item_id", F.size("vector").alias("dimension"))
+
+
+PAIR_SCORES = {
+    **SEQUENCES,
+    "pairs": """SELECT DISTINCT a.item_id AS target, b.item_id AS context FROM positions a JOIN positions b
+        ON a.user_id = b.user_id AND b.pos BETWEEN a.pos - 3 AND a.pos + 3 AND a.pos <> b.pos""",
+}
+PAIR_SCORE_SQL = """SELECT target, context, round(1 / (1 + exp(-list_dot_product(a.vector, b.vector))), 6) AS score FROM pairs
+    JOIN vectors a ON target = a.item_id JOIN vectors b ON context = b.item_id"""
+
+
+@query("m15_pair_score", PAIR_SCORE_SQL, PAIR_SCORES)
+def m15_pair_score(spark, folder):
+    pairs = training_pairs(spark, folder).select("target", "context").distinct()
+    scores = models.pair_scores(pairs, views.vectors(spark, folder).select("item_id", "vector"))
+    return scores.withColumn("score", rounded("score"))
+
+
+@query("m16_batch_score", PAIR_SCORE_SQL, PAIR_SCORES)
+def m16_batch_score(spark, folder):
+    """The same scores from the pluggable batch scorer."""
+    vectors = views.vectors(spark, folder)
+    pairs = training_pairs(spark, folder).select("target", "context").distinct()
+    rows = pairs.join(
+        vectors.select(F.col("item_id").alias("target"), F.col("vector").alias("target_vector")), "target"
+    ).join(vectors.select(F.col("item_id").alias("context"), F.col("vector").alias("item_vector")), "context")
+    return models.batch_score(rows, keep=["target", "context"]).withColumn("score", rounded("score"))
+
+
+@query("m17_ranker")
+def m17_ranker(spark, folder):
+    """Logistic ranker on item features and the mean vector of the history; scores of all training rows."""
+    from ratingloom.plans.catalog.sampling import ranker_rows
+
+    rows = durable(ranker_rows(spark, folder))
+    features = F.concat("item_features", "history_vector")
+    model = models.fit_ranker(rows, features, "label", positive_weight=1.0)
+    return models.apply_ranker(model, rows, features).select("user_id", "item_id", "ts_ms", "label", rounded("score").alias("score"))
+
+
+@query(
+    "m18_unit_vectors",
+    """SELECT item_id, CAST(p - 1 AS INTEGER) AS pos, round(v, 6) + 0.0 AS value FROM (SELECT item_id, generate_subscripts(vector, 1) AS p,
+       unnest(vector) / sqrt(list_dot_product(vector, vector)) AS v FROM vectors)""",
+)
+def m18_unit_vectors(spark, folder):
+    vectors = views.vectors(spark, folder)
+    return vectors.select("item_id", F.posexplode(unit(F.col("vector"))).alias("pos", "value")).withColumn("value", rounded("value"))
+
+
+@query(
+    "m20_embedding_table",
+    f"""SELECT idx, item_id, CAST(p - 1 AS INTEGER) AS pos, v AS value FROM (SELECT idx, item_id, unnest(vec) AS v,
+        generate_subscripts(vec, 1) AS p FROM (SELECT idx, item_id, coalesce(vector, list_transform(range({DIMENSION}),
+        lambda i: 0.0::DOUBLE)) AS vec FROM (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM items)
+        LEFT JOIN vectors USING (item_id)))""",
+)
+def m20_embedding_table(spark, folder):
+    dictionary = build_dictionary(views.items(spark, folder), "item_id")
+    full = models.embedding_table(dictionary, views.vectors(spark, folder), DIMENSION)
+    return full.select("idx", "item_id", F.posexplode("vector").alias("pos", "value"))
