@@ -1,16 +1,33 @@
-"""Hold-out rows as a stream: time-sorted files read a few per trigger."""
+"""Hold-out rows as a stream: time-sorted files that arrive one after the other."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratingloom.session import durable
 
-def write_replay(df: DataFrame, path: str, order: str = "ts_ms", files: int = 4) -> None:
-    """Range-partition by time, so every file holds one stretch of time in order."""
-    df.repartitionByRange(files, order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
+
+def write_replay(df: DataFrame, path: str, order: str = "ts_ms", slices: int = 4, files_per_slice: int = 1) -> None:
+    """Cut the rows into slices of time and write them in order, so that later rows land in younger files.
+
+    A file stream takes files by age; reading `files_per_slice` files per trigger replays slice after slice.
+    Large replays need more files per slice, so that no file and no task grows with the data.
+    """
+    rows = durable(df)
+    shares = [i / slices for i in range(1, slices)]
+    cuts = rows.agg(F.percentile_approx(order, shares)).first()[0] if shares else []
+    edges = [None, *(cuts or []), None]
+    for low, high in zip(edges, edges[1:]):
+        part = rows
+        if low is not None:
+            part = part.where(F.col(order) >= low)
+        if high is not None:
+            part = part.where(F.col(order) < high)
+        part.repartitionByRange(files_per_slice, order).sortWithinPartitions(order).write.mode("append").parquet(path)
 
 
 def replay(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
-    """Stream over the files of a folder (or a glob)."""
+    """Stream over the files of a folder (or a glob), oldest first."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
