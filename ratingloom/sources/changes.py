@@ -19,7 +19,7 @@ def decoded(df: DataFrame, payload: str = "payload", schema: str = CHANGE_SCHEMA
     """Add `data` (the row, null when the record cannot be read); plain JSON records set base64=False."""
     raw = F.col(payload)
     if base64:
-        raw = F.decode(F.try_to_binary(raw, F.lit("base64")), "UTF-8")
+        raw = F.try_validate_utf8(F.try_to_binary(raw, F.lit("base64")).cast("string"))
     record = F.from_json(raw, schema, {"mode": "PERMISSIVE"})
     return df.withColumn("data", record["data"])
 
