@@ -20,19 +20,20 @@ def asof_join(
     feature_at: str,
     columns: Sequence[str],
     ttl_days: int | None = None,
-    skew_aware: bool = True,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """For each distinct (key, moment) the feature columns of the newest row with time in [t - ttl, t].
 
     Both sides go through one shuffle on the key: a union in time order, where features come first at equal
     times, and a fill-forward. Requests without a match stay, with nulls; `matched_at` is the feature time.
-    Features must be unique in (key, time). Join the result back with `attach_features`.
+    Features must be unique in (key, time). Join the result back with `attach_features`. `counted` may name
+    a cheap frame whose rows per key tell which keys are heavy.
     """
     wanted = requests.select(key, F.col(request_at).alias("__at")).distinct()
     found = F.struct(F.col(feature_at).alias("matched_at"), *columns)
     known = features.select(key, F.col(feature_at).alias("__at"), F.lit(0).alias("__side"), found.alias("__found"))
     timeline = known.unionByName(wanted.withColumn("__side", F.lit(1)), allowMissingColumns=True)
-    cuts = find_cuts(timeline, key, "__at") if skew_aware else None
+    cuts = find_cuts(timeline, key, "__at", counted=counted)
     filled = last_known(timeline, key, ["__at", "__side"], "__found", cuts).where(F.col("__side") == 1)
     alive = F.col("__found.matched_at").isNotNull()
     if ttl_days is not None:

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions.text import parse_price
@@ -162,34 +162,43 @@ class ItemEncoder:
         return F.zip_with(centred, widths, lambda v, d: v / d)
 
 
-def terms(df: DataFrame, identity: str, text: str) -> DataFrame:
-    """(identity, term, n): lower-cased words of two or more letters and pairs of adjacent words."""
+def _with_terms(documents: DataFrame, text: str, *keep: str) -> DataFrame:
+    """Add `t`: all lower-cased words of two or more letters, and all pairs of adjacent words, of a text."""
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
+    pairs = F.greatest(F.size("__w") - 1, F.lit(0))
     bigrams = F.zip_with(
-        F.slice("__w", 1, F.greatest(F.size("__w") - 1, F.lit(0))),
-        F.slice("__w", 2, F.greatest(F.size("__w") - 1, F.lit(0))),
-        lambda a, b: F.concat(a, F.lit(" "), b),
-    )
-    return (
-        df.select(identity, words.alias("__w"))
-        .select(identity, F.explode(F.concat("__w", bigrams)).alias("term"))
-        .groupBy(identity, "term")
-        .agg(F.count(F.lit(1)).alias("n"))
+        F.slice("__w", 1, pairs), F.slice("__w", 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b)
     )
+    return documents.select(*keep, words.alias("__w")).select(*keep, F.concat("__w", bigrams).alias("t"))
 
 
 def term_vocabulary(
-    counted: DataFrame, n_docs: int | Column, min_docs: int = TEXT_MIN_DOCS, max_terms: int = TEXT_MAX_TERMS
+    documents: DataFrame, text: str, min_docs: int = TEXT_MIN_DOCS, max_terms: int = TEXT_MAX_TERMS
 ) -> DataFrame:
-    """(term, df, idf): terms in enough documents, the most frequent ones only; ties in alphabetical order."""
-    stats = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
-    kept = stats.where(F.col("df") >= min_docs).orderBy(F.desc("total"), "term").limit(max_terms)
-    docs = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
-    return kept.select("term", "df", (F.log((1 + docs) / (1 + F.col("df"))) + 1).alias("idf"))
-
-
-def tfidf(counted: DataFrame, vocabulary: DataFrame, identity: str) -> DataFrame:
-    """(identity, term, weight): n x idf at length one per document. The vocabulary has at most max_terms rows."""
-    raw = counted.join(F.broadcast(vocabulary), "term").withColumn("__w", F.col("n") * F.col("idf"))
-    length = raw.groupBy(identity).agg(F.sqrt(F.sum(F.col("__w") * F.col("__w"))).alias("__l"))
-    return raw.join(length, identity).select(identity, "term", (F.col("__w") / F.col("__l")).alias("weight"))
+    """(term, df, idf): terms in enough documents, the most frequent ones only; ties in alphabetical order.
+
+    Occurrences and documents are counted by term alone: a document hands every occurrence on,
+    and each different term once more, so both counts combine before the shuffle.
+    """
+    found = _with_terms(documents, text)
+    once = found.select(F.explode(F.array_distinct("t")).alias("term"), F.lit(0).alias("total"), F.lit(1).alias("df"))
+    every = found.select(F.explode("t").alias("term"), F.lit(1).alias("total"), F.lit(0).alias("df"))
+    counts = every.unionByName(once).groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    kept = counts.where(F.col("df") >= min_docs).orderBy(F.desc("total"), "term").limit(max_terms)
+    n_docs = documents.agg(F.count(F.lit(1))).scalar()
+    return kept.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
+
+
+def tfidf(documents: DataFrame, vocabulary: DataFrame, identity: str, text: str) -> DataFrame:
+    """(identity, term, weight): count x idf at length one per document.
+
+    Only vocabulary terms survive the join, which is a broadcast of at most max_terms rows, and only they
+    are counted and shuffled.
+    """
+    known = _with_terms(documents, text, identity).select(identity, F.explode("t").alias("term")).join(
+        F.broadcast(vocabulary.select("term", "idf")), "term"
+    )
+    counted = known.groupBy(identity, "term").agg((F.count(F.lit(1)) * F.max("idf")).alias("__w"))
+    whole = Window.partitionBy(identity)  # at most max_terms rows per document
+    length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(whole))
+    return counted.select(identity, "term", (F.col("__w") / length).alias("weight"))

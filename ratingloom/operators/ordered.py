@@ -92,7 +92,7 @@ def previous_rows(
     if cuts is None:
         return add(df, [key])
     heavy = cuts.heavy(df)
-    backwards = Window.partitionBy(key, PIECE).orderBy(*[_reverse(c) for c in order])
+    backwards = Window.partitionBy(key, PIECE).orderBy(*[c.desc() for c in order])
     tails = (
         heavy.withColumn("__back", F.row_number().over(backwards))
         .where(F.col("__back") <= n)
@@ -113,10 +113,6 @@ def previous_rows(
     return add(cuts.light(df), [key]).unionByName(joined)
 
 
-def _reverse(column: Column) -> Column:
-    return column.desc()
-
-
 def last_known(
     timeline: DataFrame,
     key: str,
@@ -124,7 +120,10 @@ def last_known(
     value: str,
     cuts: KeyCuts | None = None,
 ) -> DataFrame:
-    """Replace `value` by the last non-null value up to and including each row of its key."""
+    """Replace `value` by the last non-null value up to and including each row of its key.
+
+    Heavy keys are cut along the first order column.
+    """
 
     def fill(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -132,7 +131,7 @@ def last_known(
 
     if cuts is None:
         return fill(timeline, [key])
-    heavy = cuts.heavy(timeline)
+    heavy = cuts.heavy(timeline, order[0])
     last = (
         heavy.where(F.col(value).isNotNull())
         .groupBy(key, PIECE)

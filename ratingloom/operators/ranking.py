@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.functions.vectors import dot, sigmoid
+from ratingloom.functions.vectors import norm, sigmoid
 from ratingloom.operators.ordered import top_per_key
 
 # List lengths of the recommender.
@@ -33,15 +33,17 @@ def popular_items(scores: DataFrame, k: int = POPULAR_KEPT) -> DataFrame:
 def similar_items(pairs: DataFrame, vectors: DataFrame, keep: int = SIMILAR_KEPT) -> DataFrame:
     """Rescore nearest neighbours by sigmoid(dot) of the raw vectors and keep the best.
 
-    `pairs` holds the neighbours by cosine (query_id, item_id), `vectors` (id, vector).
+    `pairs` holds the neighbours by cosine (query_id, item_id, raw_score), `vectors` (id, vector). The dot
+    product is the cosine times both lengths, so only lengths are joined, not vectors.
     """
-    a = vectors.select(F.col("id").alias("query_id"), F.col("vector").alias("__a"))
-    b = vectors.select(F.col("id").alias("item_id"), F.col("vector").alias("__b"))
+    lengths = vectors.select("id", norm(F.col("vector")).alias("__n"))
+    a = lengths.select(F.col("id").alias("query_id"), F.col("__n").alias("__a"))
+    b = lengths.select(F.col("id").alias("item_id"), F.col("__n").alias("__b"))
     scored = (
-        pairs.select("query_id", "item_id")
+        pairs.select("query_id", "item_id", "raw_score")
         .join(a, "query_id")
         .join(b, "item_id")
-        .select("query_id", "item_id", F.round(sigmoid(dot(F.col("__a"), F.col("__b"))), 9).alias("score"))
+        .select("query_id", "item_id", F.round(sigmoid(F.col("raw_score") * F.col("__a") * F.col("__b")), 9).alias("score"))
     )
     return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("item_id")], keep, rank="rank")
 

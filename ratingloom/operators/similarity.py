@@ -17,11 +17,17 @@ from pyspark.sql import functions as F
 from ratingloom.operators.ordered import top_per_key
 
 BLOCK_ROWS = 2048
+LEAST_ROWS = 256
 SCORE_DIGITS = 9  # scores are compared after rounding, so that equal vectors tie and the id decides
 
 
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, -(-n // block_rows))
+def _blocks(df: DataFrame, block_rows: int | None) -> int:
+    """Number of blocks of one side; small sides are cut finer so that every core gets a tile."""
+    n = df.count()
+    if block_rows:
+        return max(1, -(-n // block_rows))
+    side = int(df.sparkSession.sparkContext.defaultParallelism**0.5) + 1
+    return max(-(-n // BLOCK_ROWS), min(side, n // LEAST_ROWS), 1)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -36,9 +42,10 @@ def _best_in_tile(k: int, skip_same: bool):
         queries = tile.filter(is_query)
         candidates = tile.filter(pa.compute.invert(is_query)).sort_by("id")
         empty = tile.slice(0, 0)
-        picked_q, picked_c, picked_s = [], [], []
+        picked_q, picked_c, picked_s, raw_s = [], [], [], []
         if queries.num_rows and candidates.num_rows:
-            scores = np.round(_matrix(queries.column("vector")) @ _matrix(candidates.column("vector")).T, SCORE_DIGITS)
+            raw = _matrix(queries.column("vector")) @ _matrix(candidates.column("vector")).T
+            scores = np.round(raw, SCORE_DIGITS)
             if skip_same:
                 where = {v: i for i, v in enumerate(candidates.column("id").to_pylist())}
                 for row, v in enumerate(queries.column("id").to_pylist()):
@@ -49,20 +56,22 @@ def _best_in_tile(k: int, skip_same: bool):
             keep = np.isfinite(best_scores)
             picked_q = np.repeat(np.arange(len(scores)), keep.sum(axis=1))
             picked_c, picked_s = order[keep], best_scores[keep]
+            raw_s = raw[picked_q, picked_c]
         else:
             queries = candidates = empty
         return pa.table({
             "query_id": queries.column("id").take(pa.array(picked_q, pa.int64())),
             "item_id": candidates.column("id").take(pa.array(picked_c, pa.int64())),
             "score": pa.array(picked_s, pa.float64()),
+            "raw_score": pa.array(raw_s, pa.float64()),
         })
 
     return best
 
 
-def _tiles(queries: DataFrame, items: DataFrame, query_count: int, item_count: int, block_rows: int) -> DataFrame:
+def _tiles(queries: DataFrame, items: DataFrame, block_rows: int | None) -> DataFrame:
     """(id, vector) of both sides, once per tile of its block row or column."""
-    q_blocks, i_blocks = _blocks(query_count, block_rows), _blocks(item_count, block_rows)
+    q_blocks, i_blocks = _blocks(queries, block_rows), _blocks(items, block_rows)
 
     def placed(df: DataFrame, is_query: bool) -> DataFrame:
         own, other = (q_blocks, i_blocks) if is_query else (i_blocks, q_blocks)
@@ -83,17 +92,18 @@ def best_pairs(
     items: DataFrame,
     k: int,
     skip_same: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
-    """Per query the k items of highest dot product: query_id, item_id, score, rank. Ties go to the lower id.
+    """Per query the k items of highest dot product: query_id, item_id, score, raw_score, rank.
 
     Both sides hold (id, vector array<double>) with unique ids and one vector length. `skip_same` leaves the
-    item with the query's own id out. On unit vectors the score is the cosine.
+    item with the query's own id out. On unit vectors the score is the cosine. Ranks go by the rounded score,
+    then by the lower id; `raw_score` is not rounded.
     """
-    grid = _tiles(queries, items, queries.count(), items.count(), block_rows)
-    id_type = items.schema["id"].dataType.simpleString()
+    grid = _tiles(queries, items, block_rows)
+    id_type = grid.schema["id"].dataType.simpleString()
     local = grid.groupBy("__qb", "__ib").applyInArrow(
-        _best_in_tile(k, skip_same), f"query_id {id_type}, item_id {id_type}, score double"
+        _best_in_tile(k, skip_same), f"query_id {id_type}, item_id {id_type}, score double, raw_score double"
     )
     return top_per_key(local, ["query_id"], [F.desc("score"), F.asc("item_id")], k, rank="rank")
 
@@ -116,13 +126,13 @@ def _score_range(tile: pa.Table) -> pa.Table:
     })
 
 
-def score_all(queries: DataFrame, items: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def score_all(queries: DataFrame, items: DataFrame, block_rows: int | None = None) -> DataFrame:
     """Score every (query, item) pair; per query the number of pairs and the lowest and highest score.
 
     The pairs themselves stay inside the tiles.
     """
-    grid = _tiles(queries, items, queries.count(), items.count(), block_rows)
-    id_type = queries.schema["id"].dataType.simpleString()
+    grid = _tiles(queries, items, block_rows)
+    id_type = grid.schema["id"].dataType.simpleString()
     local = grid.groupBy("__qb", "__ib").applyInArrow(_score_range, f"query_id {id_type}, n long, low double, high double")
     return local.groupBy("query_id").agg(
         F.sum("n").alias("n_scored"), F.min("low").alias("low"), F.max("high").alias("high")

@@ -44,16 +44,21 @@ class KeyCuts:
         return self.table.select(self.key, F.explode(every).alias(PIECE))
 
 
-def find_cuts(df: DataFrame, key: str, order: str, min_rows: int | None = None) -> KeyCuts | None:
+def find_cuts(
+    df: DataFrame, key: str, order: str, min_rows: int | None = None, counted: DataFrame | None = None
+) -> KeyCuts | None:
     """Cut points for keys above both `min_rows` rows and a 1/2000 share; None if there is no such key.
 
     Runs one counting pass with map-side combine; only when it finds a heavy key, a second one over those
     rows. What reaches the driver is bounded: under 2000 keys, and at most 2000 cuts in proportion to size.
+    `counted` may name a cheaper frame with the same keys, when df is costly to compute: cuts only shape
+    the layout, so they need not be exact.
     """
     spark = df.sparkSession
     if min_rows is None:
         min_rows = int(spark.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    rows_of = df if counted is None else counted
+    sizes = rows_of.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
     total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
     if not largest or largest <= min_rows:
         return None

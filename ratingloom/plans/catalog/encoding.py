@@ -14,10 +14,8 @@ from ratingloom.operators.encoders import (
     ScaledPrice,
     Standardised,
     term_vocabulary,
-    terms,
     tfidf,
 )
-from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.skew import find_cuts
 from ratingloom.operators.skipgram import sequence_positions, skipgram_pairs
 from ratingloom.plans import feature_job
@@ -25,7 +23,7 @@ from ratingloom.plans.catalog.base import joined, query, rounded
 from ratingloom.plans.catalog.ranking import DIMENSION
 from ratingloom.plans.catalog.rows import SEQUENCES
 from ratingloom.plans.catalog.windows import HISTORY, ITEM_STATS, item_stats, sequence_rows
-from ratingloom.session import durable
+from ratingloom.session import durable, spread
 from ratingloom.sources import views
 
 DICTIONARY_SQL = "SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS idx FROM (SELECT DISTINCT {key} FROM {view})"
@@ -99,11 +97,12 @@ FRAME: dict[str, str] = {
 
 def encoder_frame(spark, folder):
     """(all items, fit items): newest statistics row per item with metadata."""
-    stats = durable(item_stats(spark, folder))
-    newest = first_per_key(stats, ["item_id"], [F.desc("ts_ms")])
-    frame = newest.join(views.items(spark, folder).drop("title"), "item_id")
-    early = stats.where(F.col("ts_ms") < 820_454_400_000).select("item_id").distinct()
-    return frame, frame.join(early, "item_id", "left_semi")
+    stats = item_stats(spark, folder)
+    row = F.struct("ts_ms", "rating", *feature_job.ITEM_STAT_COLUMNS)
+    newest = stats.groupBy("item_id").agg(F.max_by(row, "ts_ms").alias("r"), F.min("ts_ms").alias("first_ms"))
+    metadata = views.items(spark, folder).drop("title")
+    frame = durable(newest.select("item_id", "r.*", "first_ms").join(metadata, "item_id"))
+    return frame, frame.where(F.col("first_ms") < 820_454_400_000)
 
 
 @query(
@@ -201,10 +200,9 @@ TERMS: dict[str, str] = {
     TERMS,
 )
 def m9_text_tfidf(spark, folder):
-    documents = views.table(spark, folder, "documents", "doc_id", "text")
-    counted = durable(terms(documents, "doc_id", "text"))
-    vocabulary = term_vocabulary(counted, documents.agg(F.count(F.lit(1))).scalar())
-    return tfidf(counted, vocabulary, "doc_id").withColumn("weight", rounded("weight"))
+    documents = spread(views.table(spark, folder, "documents", "doc_id", "text"))
+    vocabulary = term_vocabulary(documents, "text")
+    return tfidf(documents, vocabulary, "doc_id", "text").withColumn("weight", rounded("weight"))
 
 
 def training_pairs(spark, folder):

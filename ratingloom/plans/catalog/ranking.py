@@ -77,7 +77,8 @@ def t2_similar_items(spark, folder):
 )
 def t3_similar_by_dot(spark, folder):
     raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
-    return similarity.best_pairs(raw, raw, 10, skip_same=True).withColumn("score", rounded("score"))
+    found = similarity.best_pairs(raw, raw, 10, skip_same=True).drop("raw_score")
+    return found.withColumn("score", rounded("score"))
 
 
 @query(
@@ -107,7 +108,7 @@ def user_recs(spark, folder, k: int = ranking.RECOMMENDED):
     """Best k items per user by score: user_id, item_id, score, rank."""
     users = similarity.as_vectors(user_vectors(spark, folder), "user_id", "vector")
     raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
-    return similarity.best_pairs(users, raw, k).withColumnRenamed("query_id", "user_id")
+    return similarity.best_pairs(users, raw, k).drop("raw_score").withColumnRenamed("query_id", "user_id")
 
 
 @query("t5_topk_per_user", "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM recs", RECS)
@@ -190,7 +191,7 @@ def t7_vector_search(spark, folder):
     parts = views.table(spark, folder, "part", "p_partkey", "p_type").where(F.col("p_type") == "ECONOMY")
     allowed = vectors.join(parts, vectors.item_id == parts.p_partkey, "left_semi")
     found = similarity.best_pairs(
-        similarity.as_vectors(centres.withColumn("label", F.col("label").cast("long")), "label", unit(F.col("vector"))),
+        similarity.as_vectors(centres, "label", unit(F.col("vector"))),
         similarity.as_vectors(allowed, "item_id", unit(F.col("vector"))),
         10,
     )

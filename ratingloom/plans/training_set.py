@@ -13,6 +13,7 @@ from ratingloom.operators.joins import attach_features, many_to_one
 from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.sampling import negative_samples
 from ratingloom.plans.feature_job import ITEM_STAT_COLUMNS
+from ratingloom.session import durable
 
 SEED = 41
 TTL_DAYS = 10_000
@@ -37,8 +38,9 @@ def training_table(
     negatives = negative_samples(
         positives, ["user_id", "item_id", "ts_ms"], carried=["ts_ms", *user_columns], ratio=ratio, seed=seed
     )
-    rows = positives.select(*columns).unionByName(negatives.select(*columns))
-    looked_up = asof_join(rows, item_stats, "item_id", "ts_ms", "ts_ms", list(stat_columns), ttl_days)
+    # read twice below, and a draw is costlier than a read
+    rows = durable(positives.select(*columns).unionByName(negatives.select(*columns)))
+    looked_up = asof_join(rows, item_stats, "item_id", "ts_ms", "ts_ms", list(stat_columns), ttl_days, counted=rows)
     full = attach_features(many_to_one(rows, metadata, ["item_id"]), looked_up.drop("matched_at"), ["item_id", "ts_ms"])
     return shuffle_rows(full, seed, ["user_id", "item_id", "ts_ms", "rating"])
 
@@ -49,5 +51,5 @@ def first_metadata(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def checked(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Refuses null keys, as the last step before a table is written."""
-    return require_clean_keys(table, keys, unique=False)
+    """The table, computed once and kept, after making sure that no key is null."""
+    return require_clean_keys(durable(table), keys, unique=False)

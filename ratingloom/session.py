@@ -60,3 +60,9 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint that outlives lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before costly per-row work; a large one has partitions enough."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
