@@ -163,7 +163,11 @@ class ItemEncoder:
 
 
 def _with_terms(documents: DataFrame, text: str, *keep: str) -> DataFrame:
-    """Add `t`: all lower-cased words of two or more letters, and all pairs of adjacent words, of a text."""
+    """Add `t`: all lower-cased words of two or more letters, and all pairs of adjacent words, of a text.
+
+    Take it apart with explode_outer: for explode, Spark adds a size filter that works the words out once
+    more for each mention, below any spreading of the input.
+    """
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
     pairs = F.greatest(F.size("__w") - 1, F.lit(0))
     bigrams = F.zip_with(
@@ -181,9 +185,9 @@ def term_vocabulary(
     and each different term once more, so both counts combine before the shuffle.
     """
     found = _with_terms(documents, text)
-    once = found.select(F.explode(F.array_distinct("t")).alias("term"), F.lit(0).alias("total"), F.lit(1).alias("df"))
-    every = found.select(F.explode("t").alias("term"), F.lit(1).alias("total"), F.lit(0).alias("df"))
-    counts = every.unionByName(once).groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+    once = found.select(F.explode_outer(F.array_distinct("t")).alias("term"), F.lit(0).alias("total"), F.lit(1).alias("df"))
+    every = found.select(F.explode_outer("t").alias("term"), F.lit(1).alias("total"), F.lit(0).alias("df"))
+    counts = every.unionByName(once).where("term IS NOT NULL").groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
     kept = counts.where(F.col("df") >= min_docs).orderBy(F.desc("total"), "term").limit(max_terms)
     n_docs = documents.agg(F.count(F.lit(1))).scalar()
     return kept.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -195,7 +199,7 @@ def tfidf(documents: DataFrame, vocabulary: DataFrame, identity: str, text: str)
     Only vocabulary terms survive the join, which is a broadcast of at most max_terms rows, and only they
     are counted and shuffled.
     """
-    known = _with_terms(documents, text, identity).select(identity, F.explode("t").alias("term")).join(
+    known = _with_terms(documents, text, identity).select(identity, F.explode_outer("t").alias("term")).join(
         F.broadcast(vocabulary.select("term", "idf")), "term"
     )
     counted = known.groupBy(identity, "term").agg((F.count(F.lit(1)) * F.max("idf")).alias("__w"))

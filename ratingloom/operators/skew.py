@@ -44,6 +44,24 @@ class KeyCuts:
         return self.table.select(self.key, F.explode(every).alias(PIECE))
 
 
+def _heavy_sizes(df: DataFrame, key: str, min_rows: int | None) -> tuple[dict, int]:
+    """Rows of every key above both `min_rows` and a 1/2000 share, and the row count pieces aim at."""
+    if min_rows is None:
+        min_rows = int(df.sparkSession.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
+    if not largest or largest <= min_rows:
+        return {}, 0
+    target = max(min_rows, int(total * MAX_SHARE))
+    return {r[key]: r["__rows"] for r in sizes.where(F.col("__rows") > target).collect()}, target
+
+
+def heavy_keys(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame | None:
+    """The heavy keys as a table of under 2000 rows; None if there is none. One pass with map-side combine."""
+    sizes, _ = _heavy_sizes(df, key, min_rows)
+    return df.sparkSession.createDataFrame([(k,) for k in sizes], df.select(key).schema) if sizes else None
+
+
 def find_cuts(
     df: DataFrame, key: str, order: str, min_rows: int | None = None, counted: DataFrame | None = None
 ) -> KeyCuts | None:
@@ -54,22 +72,13 @@ def find_cuts(
     `counted` may name a cheaper frame with the same keys, when df is costly to compute: cuts only shape
     the layout, so they need not be exact.
     """
-    spark = df.sparkSession
-    if min_rows is None:
-        min_rows = int(spark.conf.get(MIN_ROWS_CONF, str(DEFAULT_MIN_ROWS)))
-    rows_of = df if counted is None else counted
-    sizes = rows_of.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    total, largest = sizes.agg(F.sum("__rows"), F.max("__rows")).first()
-    if not largest or largest <= min_rows:
+    sizes, target = _heavy_sizes(df if counted is None else counted, key, min_rows)
+    if not sizes:
         return None
-    target = max(min_rows, int(total * MAX_SHARE))
-    heavy = sizes.where(F.col("__rows") > target)
-    rows = heavy.collect()
-    if not rows:
-        return None
-    size_of = {r[key]: r["__rows"] for r in rows}
+    spark = df.sparkSession
     schema = df.select(key).schema
-    keys = spark.createDataFrame([(k,) for k in size_of], schema)
+    keys = spark.createDataFrame([(k,) for k in sizes], schema)
+    largest = max(sizes.values())
     pieces = -(-largest // target)
     shares = [i / pieces for i in range(1, pieces)]
     quantiles = (
@@ -81,7 +90,7 @@ def find_cuts(
     )
     cuts = []
     for row in quantiles:
-        step = max(1, largest // size_of[row[key]])
+        step = max(1, largest // sizes[row[key]])
         cuts.append((row[key], sorted(set(row["__cuts"][step - 1 :: step]))))
     fields = T.StructType([*schema.fields, T.StructField("__cuts", T.ArrayType(T.LongType()))])
     return KeyCuts(key, order, spark.createDataFrame(cuts, fields))
