@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from ratingloom.operators import sets, stats
 from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.ranking import POPULAR_CANDIDATES, popular_items
-from ratingloom.operators.skipgram import sequence_lists, sequence_positions
+from ratingloom.operators.skipgram import co_occurring, sequence_lists, sequence_positions
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import CUT_MS, joined, query, rounded
 from ratingloom.plans.catalog.rows import SEQUENCES, enriched, labelled
+from ratingloom.session import durable
 from ratingloom.sources import views
 
 FIRST_ITEM_ROWS = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id, event_ts ORDER BY rating DESC,
@@ -125,6 +126,24 @@ def a9_basket_freq(spark, folder):
     return stats.basket_frequency(sequence_positions(views.interactions(spark, folder)))
 
 
+@query(
+    "a9_co_occurrence",
+    """SELECT a.item_id AS a, b.item_id AS b FROM (SELECT DISTINCT user_id, item_id FROM positions) a JOIN (
+       SELECT DISTINCT user_id, item_id FROM positions WHERE item_id IN (SELECT item_id FROM (
+         SELECT item_id, count(DISTINCT user_id) AS n FROM positions GROUP BY item_id) ORDER BY n DESC, item_id LIMIT 50)) b
+       USING (user_id) GROUP BY ALL""",
+    SEQUENCES,
+)
+def a9_co_occurrence(spark, folder):
+    """Which items share a basket with one of the fifty most frequent items."""
+    positions = durable(sequence_positions(views.interactions(spark, folder)))
+    frequency = durable(stats.basket_frequency(positions))
+    top = [r["item_id"] for r in frequency.orderBy(F.desc("n_sequences"), "item_id").limit(50).collect()]
+    other = F.explode(F.array(*[F.lit(i).cast("long") for i in top]))
+    asked = frequency.select(F.col("item_id").alias("a"), other.alias("b"))
+    return co_occurring(asked, stats.user_items(positions), frequency)
+
+
 @query(
     "a10_first_per_key",
     """SELECT item_id, user_id, rating, ts_ms FROM (SELECT *, row_number() OVER (PARTITION BY item_id

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,9 +58,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint that outlives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once, keep as a table in the shared folder, and go on from there.
+
+    That cuts lineage and outlives lost executors, as a checkpoint does; being parquet, it is also read
+    column by column, and its true size is known when later joins are planned.
+    """
+    path = f"{shared_folder(df.sparkSession)}/ratingloom-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
