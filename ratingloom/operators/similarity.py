@@ -1,77 +1,44 @@
 """Nearest vectors and best-scoring pairs, exact, in bounded blocks.
 
-Queries and items are hashed into blocks of about `block_rows` vectors. Every (query block, item block) tile
-is one small group: a matrix product and a local top-k inside an Arrow function. A tile hands on at most k
+Queries and items are hashed into blocks. Every (query block, item block) tile is one bounded group: a matrix
+product, a strip of rows at a time, and a local top-k inside an Arrow function. A tile hands on at most k
 rows per query, so the full set of pairs never exists; a second top-k per query merges the tiles. Vectors
-are unique per id, so no tile grows with a hot key. Work is (queries x items) multiplications, spread over
-as many tasks as there are tiles.
+are unique per id, so no tile grows with a hot key. A vector is shuffled once per block of the other side,
+which is why blocks are large when there are many vectors and only cut finer to give every core a tile.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.operators.ordered import top_per_key
 
-BLOCK_ROWS = 2048
+QUERY_BLOCK = 32_768
+ITEM_BLOCK = 131_072
 LEAST_ROWS = 256
+STRIP_SCORES = 4_000_000  # scores of a tile held at a time
 SCORE_DIGITS = 9  # scores are compared after rounding, so that equal vectors tie and the id decides
 
 
-def _blocks(df: DataFrame, block_rows: int | None) -> int:
-    """Number of blocks of one side; small sides are cut finer so that every core gets a tile."""
+def _blocks(df: DataFrame, block_rows: int | None, largest: int) -> int:
+    """Number of blocks of one side."""
     n = df.count()
     if block_rows:
         return max(1, -(-n // block_rows))
     side = int(df.sparkSession.sparkContext.defaultParallelism**0.5) + 1
-    return max(-(-n // BLOCK_ROWS), min(side, n // LEAST_ROWS), 1)
-
-
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    values = column.combine_chunks()
-    flat = values.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(values), -1) if len(values) else flat.reshape(0, 0)
-
-
-def _best_in_tile(k: int, skip_same: bool):
-    def best(tile: pa.Table) -> pa.Table:
-        is_query = tile.column("is_query").combine_chunks()
-        queries = tile.filter(is_query)
-        candidates = tile.filter(pa.compute.invert(is_query)).sort_by("id")
-        empty = tile.slice(0, 0)
-        picked_q, picked_c, picked_s, raw_s = [], [], [], []
-        if queries.num_rows and candidates.num_rows:
-            raw = _matrix(queries.column("vector")) @ _matrix(candidates.column("vector")).T
-            scores = np.round(raw, SCORE_DIGITS)
-            if skip_same:
-                where = {v: i for i, v in enumerate(candidates.column("id").to_pylist())}
-                for row, v in enumerate(queries.column("id").to_pylist()):
-                    if v in where:
-                        scores[row, where[v]] = -np.inf
-            order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            best_scores = np.take_along_axis(scores, order, axis=1)
-            keep = np.isfinite(best_scores)
-            picked_q = np.repeat(np.arange(len(scores)), keep.sum(axis=1))
-            picked_c, picked_s = order[keep], best_scores[keep]
-            raw_s = raw[picked_q, picked_c]
-        else:
-            queries = candidates = empty
-        return pa.table({
-            "query_id": queries.column("id").take(pa.array(picked_q, pa.int64())),
-            "item_id": candidates.column("id").take(pa.array(picked_c, pa.int64())),
-            "score": pa.array(picked_s, pa.float64()),
-            "raw_score": pa.array(raw_s, pa.float64()),
-        })
-
-    return best
+    return max(-(-n // largest), min(side, n // LEAST_ROWS), 1)
 
 
 def _tiles(queries: DataFrame, items: DataFrame, block_rows: int | None) -> DataFrame:
     """(id, vector) of both sides, once per tile of its block row or column."""
-    q_blocks, i_blocks = _blocks(queries, block_rows), _blocks(items, block_rows)
+    q_blocks = _blocks(queries, block_rows, QUERY_BLOCK)
+    i_blocks = _blocks(items, block_rows, ITEM_BLOCK)
 
     def placed(df: DataFrame, is_query: bool) -> DataFrame:
         own, other = (q_blocks, i_blocks) if is_query else (i_blocks, q_blocks)
@@ -87,6 +54,67 @@ def _tiles(queries: DataFrame, items: DataFrame, block_rows: int | None) -> Data
     return placed(queries, True).unionByName(placed(items, False))
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    values = column.combine_chunks()
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+
+
+def _sides(tile: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """Queries, and items in id order."""
+    is_query = tile.column("is_query")
+    return tile.filter(is_query), tile.filter(pc.invert(is_query)).sort_by("id")
+
+
+def _strips(queries: pa.Table, items: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(first query row, scores of some query rows against all items)."""
+    if not queries.num_rows or not items.num_rows:
+        return
+    left, right = _matrix(queries.column("vector")), _matrix(items.column("vector")).T
+    height = max(1, STRIP_SCORES // items.num_rows)
+    for first in range(0, len(left), height):
+        yield first, left[first : first + height] @ right
+
+
+def _first_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the k best finite scores per row, equal scores by column."""
+    keep = np.isfinite(scores)
+    if scores.shape[1] > k:
+        edge = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        keep &= scores >= edge
+    rows, columns = np.nonzero(keep)
+    order = np.lexsort((columns, -scores[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    starts = np.searchsorted(rows, np.arange(len(scores)))
+    best = np.arange(len(rows)) - starts[rows] < k
+    return rows[best], columns[best]
+
+
+def _best_in_tile(k: int, skip_same: bool):
+    def best(tile: pa.Table) -> pa.Table:
+        queries, items = _sides(tile)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))]
+        own = None
+        if skip_same and items.num_rows:
+            own = pc.index_in(queries.column("id"), items.column("id").combine_chunks()).to_numpy()
+        for first, raw in _strips(queries, items):
+            scores = np.round(raw, SCORE_DIGITS)
+            if own is not None:
+                at = own[first : first + len(raw)]
+                there = np.flatnonzero(~np.isnan(at.astype(float)))
+                scores[there, at[there].astype(np.int64)] = -np.inf
+            rows, columns = _first_k(scores, k)
+            found.append((rows + first, columns, scores[rows, columns], raw[rows, columns]))
+        rows, columns, scores, raws = (np.concatenate(part) for part in zip(*found))
+        return pa.table({
+            "query_id": queries.column("id").take(pa.array(rows)),
+            "item_id": items.column("id").take(pa.array(columns)),
+            "score": pa.array(scores),
+            "raw_score": pa.array(raws),
+        })
+
+    return best
+
+
 def best_pairs(
     queries: DataFrame,
     items: DataFrame,
@@ -109,20 +137,16 @@ def best_pairs(
 
 
 def _score_range(tile: pa.Table) -> pa.Table:
-    is_query = tile.column("is_query").combine_chunks()
-    queries = tile.filter(is_query)
-    candidates = tile.filter(pa.compute.invert(is_query))
-    if not queries.num_rows or not candidates.num_rows:
-        queries, low, high, n = queries.slice(0, 0), [], [], []
-    else:
-        scores = _matrix(queries.column("vector")) @ _matrix(candidates.column("vector")).T
-        low, high = scores.min(axis=1), scores.max(axis=1)
-        n = np.full(len(scores), scores.shape[1])
+    queries, items = _sides(tile)
+    found = [(np.empty(0), np.empty(0))]
+    for _, scores in _strips(queries, items):
+        found.append((scores.min(axis=1), scores.max(axis=1)))
+    low, high = (np.concatenate(part) for part in zip(*found))
     return pa.table({
-        "query_id": queries.column("id"),
-        "n": pa.array(n, pa.int64()),
-        "low": pa.array(low, pa.float64()),
-        "high": pa.array(high, pa.float64()),
+        "query_id": queries.column("id").slice(0, len(low)),
+        "n": pa.array(np.full(len(low), items.num_rows, np.int64)),
+        "low": pa.array(low),
+        "high": pa.array(high),
     })
 
 
@@ -133,7 +157,9 @@ def score_all(queries: DataFrame, items: DataFrame, block_rows: int | None = Non
     """
     grid = _tiles(queries, items, block_rows)
     id_type = grid.schema["id"].dataType.simpleString()
-    local = grid.groupBy("__qb", "__ib").applyInArrow(_score_range, f"query_id {id_type}, n long, low double, high double")
+    local = grid.groupBy("__qb", "__ib").applyInArrow(
+        _score_range, f"query_id {id_type}, n long, low double, high double"
+    )
     return local.groupBy("query_id").agg(
         F.sum("n").alias("n_scored"), F.min("low").alias("low"), F.max("high").alias("high")
     )
