@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.vectors import norm, sigmoid
 from ratingloom.operators.ordered import top_per_key
+from ratingloom.operators.similarity import SCORE_DIGITS
 
 # List lengths of the recommender.
 POPULAR_KEPT = 500
@@ -30,6 +31,11 @@ def popular_items(scores: DataFrame, k: int = POPULAR_KEPT) -> DataFrame:
     )
 
 
+def best_by_score(scored: DataFrame, key: str, k: int) -> DataFrame:
+    """First k rows per key by score, compared after rounding, then by the lower item id."""
+    return top_per_key(scored, [key], [F.round("score", SCORE_DIGITS).desc(), F.asc("item_id")], k, rank="rank")
+
+
 def similar_items(pairs: DataFrame, vectors: DataFrame, keep: int = SIMILAR_KEPT) -> DataFrame:
     """Rescore nearest neighbours by sigmoid(dot) of the raw vectors and keep the best.
 
@@ -43,9 +49,9 @@ def similar_items(pairs: DataFrame, vectors: DataFrame, keep: int = SIMILAR_KEPT
         pairs.select("query_id", "item_id", "raw_score")
         .join(a, "query_id")
         .join(b, "item_id")
-        .select("query_id", "item_id", F.round(sigmoid(F.col("raw_score") * F.col("__a") * F.col("__b")), 9).alias("score"))
+        .select("query_id", "item_id", sigmoid(F.col("raw_score") * F.col("__a") * F.col("__b")).alias("score"))
     )
-    return top_per_key(scored, ["query_id"], [F.desc("score"), F.asc("item_id")], keep, rank="rank")
+    return best_by_score(scored, "query_id", keep)
 
 
 def recommendation_lists(ranked: DataFrame) -> DataFrame:

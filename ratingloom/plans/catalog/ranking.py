@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ratingloom.functions.vectors import unit
 from ratingloom.operators import ranking, similarity, stats
 from ratingloom.operators.models import batch_score, mean_vectors
-from ratingloom.operators.ordered import top_per_key
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import joined, query, rounded, scratch
 from ratingloom.plans.catalog.statistics import POPULARITY_SQL
@@ -27,16 +26,16 @@ RECS: dict[str, str] = {
         row_number() OVER (PARTITION BY a.item_id ORDER BY round(list_dot_product(a.u, b.u), 9) DESC, b.item_id) AS rank
         FROM units a, units b WHERE a.item_id <> b.item_id) WHERE rank <= 100""",
     "similar_items": """SELECT * FROM (SELECT query_id, n.item_id, s AS score,
-        row_number() OVER (PARTITION BY query_id ORDER BY s DESC, n.item_id) AS rank FROM (
-        SELECT n.query_id, n.item_id, round(1 / (1 + exp(-list_dot_product(a.vector, b.vector))), 9) AS s
+        row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, n.item_id) AS rank FROM (
+        SELECT n.query_id, n.item_id, 1 / (1 + exp(-list_dot_product(a.vector, b.vector))) AS s
         FROM neighbours n JOIN vectors a ON n.query_id = a.item_id JOIN vectors b ON n.item_id = b.item_id) n)
         WHERE rank <= 10""",
     "user_parts": """SELECT user_id, pos, avg(v) AS v FROM (SELECT user_id, unnest(vector) AS v,
         generate_subscripts(vector, 1) AS pos FROM interactions JOIN vectors USING (item_id)) GROUP BY 1, 2""",
     "user_vectors": "SELECT user_id, list(v ORDER BY pos) AS vector FROM user_parts GROUP BY user_id",
-    "user_scores": """SELECT u.user_id, v.item_id, round(list_dot_product(u.vector, v.vector), 9) AS score
+    "user_scores": """SELECT u.user_id, v.item_id, list_dot_product(u.vector, v.vector) AS score
         FROM user_vectors u, vectors v""",
-    "recs": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank
+    "recs": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank
         FROM user_scores) WHERE rank <= 10""",
 }
 
@@ -71,14 +70,14 @@ def t2_similar_items(spark, folder):
 @query(
     "t3_similar_by_dot",
     """SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM (
-       SELECT a.item_id AS query_id, b.item_id, round(list_dot_product(a.vector, b.vector), 9) AS score, row_number() OVER (
+       SELECT a.item_id AS query_id, b.item_id, list_dot_product(a.vector, b.vector) AS score, row_number() OVER (
        PARTITION BY a.item_id ORDER BY round(list_dot_product(a.vector, b.vector), 9) DESC, b.item_id) AS rank
        FROM vectors a, vectors b WHERE a.item_id <> b.item_id) WHERE rank <= 10""",
 )
 def t3_similar_by_dot(spark, folder):
     raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
-    found = similarity.best_pairs(raw, raw, 10, skip_same=True).drop("raw_score")
-    return found.withColumn("score", rounded("score"))
+    found = similarity.best_pairs(raw, raw, 10, skip_same=True)
+    return found.withColumn("score", rounded("raw_score")).drop("raw_score")
 
 
 @query(
@@ -108,7 +107,8 @@ def user_recs(spark, folder, k: int = ranking.RECOMMENDED):
     """Best k items per user by score: user_id, item_id, score, rank."""
     users = similarity.as_vectors(user_vectors(spark, folder), "user_id", "vector")
     raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
-    return similarity.best_pairs(users, raw, k).drop("raw_score").withColumnRenamed("query_id", "user_id")
+    found = similarity.best_pairs(users, raw, k)
+    return found.select(F.col("query_id").alias("user_id"), "item_id", F.col("raw_score").alias("score"), "rank")
 
 
 @query("t5_topk_per_user", "SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score FROM recs", RECS)
@@ -156,8 +156,8 @@ def candidates(spark, folder):
 @query(
     "t6_rank_candidates",
     """SELECT user_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT user_id, item_id, score,
-       row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM (
-       SELECT c.user_id, c.item_id, round(1 / (1 + exp(-list_dot_product(a.vector, b.vector))), 9) AS score
+       row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM (
+       SELECT c.user_id, c.item_id, 1 / (1 + exp(-list_dot_product(a.vector, b.vector))) AS score
        FROM candidates c JOIN vectors a ON c.last_item = a.item_id JOIN vectors b ON c.item_id = b.item_id))
        WHERE rank <= 10""",
     CANDIDATES,
@@ -168,15 +168,15 @@ def t6_rank_candidates(spark, folder):
     target = vectors.select(F.col("item_id").alias("last_item"), F.col("vector").alias("target_vector"))
     item = vectors.select("item_id", F.col("vector").alias("item_vector"))
     rows = candidates(spark, folder).join(target, "last_item").join(item, "item_id")
-    scored = batch_score(rows, keep=["user_id", "item_id"]).withColumn("score", F.round("score", 9))
-    best = top_per_key(scored, ["user_id"], [F.desc("score"), F.asc("item_id")], ranking.RECOMMENDED, rank="rank")
+    scored = batch_score(rows, keep=["user_id", "item_id"])
+    best = ranking.best_by_score(scored, "user_id", ranking.RECOMMENDED)
     return best.withColumn("score", rounded("score"))
 
 
 @query(
     "t7_vector_search",
     f"""SELECT label AS query_id, item_id, CAST(rank AS INTEGER) AS rank, round(1 - score, 6) AS distance FROM (
-        SELECT q.label, i.item_id, round(list_dot_product(q.u, i.u), 9) AS score, row_number() OVER (PARTITION BY q.label
+        SELECT q.label, i.item_id, list_dot_product(q.u, i.u) AS score, row_number() OVER (PARTITION BY q.label
         ORDER BY round(list_dot_product(q.u, i.u), 9) DESC, i.item_id) AS rank
         FROM (SELECT label, {_unit_sql('vector')} AS u FROM (SELECT label, list(v ORDER BY pos) AS vector FROM (
           SELECT label, pos, avg(v) AS v FROM (SELECT label, unnest(vector) AS v, generate_subscripts(vector, 1) AS pos
@@ -195,7 +195,7 @@ def t7_vector_search(spark, folder):
         similarity.as_vectors(allowed, "item_id", unit(F.col("vector"))),
         10,
     )
-    return found.select(F.col("query_id").cast("int").alias("query_id"), "item_id", "rank", rounded(1 - F.col("score")).alias("distance"))
+    return found.select(F.col("query_id").cast("int").alias("query_id"), "item_id", "rank", rounded(1 - F.col("raw_score")).alias("distance"))
 
 
 @query(
