@@ -22,13 +22,13 @@ SEED = 41
 VIEWS: dict[str, str] = {
     "interactions": """SELECT o_custkey AS user_id, l_partkey AS item_id,
         CAST(1 + CAST(floor(l_quantity) AS BIGINT) % 5 AS DOUBLE) AS rating, l_shipdate AS event_ts,
-        (epoch_ms(l_shipdate) // 1000) * 1000 AS ts_ms
+        (epoch_us(l_shipdate) // 1000000) * 1000 AS ts_ms
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "items": """SELECT p_partkey AS item_id, p_name AS title, p_brand AS main_category,
         [p_type, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)] AS categories,
         '$' || CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS VARCHAR) AS price FROM part""",
     "stream": """SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id, event_type,
-        value, ts AS event_ts, (epoch_ms(ts) // 1000) * 1000 AS ts_ms FROM events""",
+        value, ts AS event_ts, (epoch_us(ts) // 1000000) * 1000 AS ts_ms FROM events""",
     "vectors": "SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS vector, label FROM embeddings",
     "train": f"SELECT * FROM interactions WHERE ts_ms < {CUT_MS}",
     "val": f"SELECT * FROM interactions WHERE ts_ms >= {CUT_MS}",

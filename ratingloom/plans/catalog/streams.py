@@ -64,7 +64,7 @@ def r1_decode(spark, folder):
         list_transform(s, lambda x: CASE WHEN x = -1 THEN -1 ELSE {BUCKET_CASE.format(s='(s[10] - x)')} END), ',')
         AS item_sequence_ts_bucket FROM (SELECT user_id, n_events, array_to_string(items, ',') AS recent_items,
         array_to_string(list_transform(ts, lambda t: strftime(t, '%Y-%m-%dT%H:%M:%S.%gZ')), ',') AS recent_times,
-        list_concat(list_transform(range(10 - len(ts)), lambda i: CAST(-1 AS BIGINT)), list_transform(ts, lambda t: epoch_ms(t) // 1000))
+        list_concat(list_transform(range(10 - len(ts)), lambda i: CAST(-1 AS BIGINT)), list_transform(ts, lambda t: epoch_us(t) // 1000000))
         AS s FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, max(n) AS n_events, list(item_id ORDER BY event_ts) AS items,
         list(event_ts ORDER BY event_ts) AS ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_ts DESC) AS back,
         count(*) OVER (PARTITION BY user_id) AS n FROM stream WHERE event_type <> 'error') WHERE back <= 10 GROUP BY user_id))""",

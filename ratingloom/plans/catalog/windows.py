@@ -38,7 +38,7 @@ HISTORY = {
     "longest": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_ts
         ORDER BY coalesce(len(hist_items), 0) DESC, pos DESC) AS rn FROM history) WHERE rn = 1""",
     "padded": """SELECT *, list_concat(list_transform(range(10 - coalesce(len(hist_times), 0)), lambda i: CAST(-1 AS BIGINT)),
-        list_transform(coalesce(hist_times, []), lambda t: epoch_ms(t) // 1000)) AS seconds FROM history""",
+        list_transform(coalesce(hist_times, []), lambda t: epoch_us(t) // 1000000)) AS seconds FROM history""",
 }
 ITEMS_TEXT = "coalesce(array_to_string(hist_items, ','), '')"
 TIMES_TEXT = "coalesce(array_to_string(list_transform(hist_times, lambda t: strftime(t, '%Y-%m-%dT%H:%M:%S.%gZ')), ','), '')"
