@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ratingloom.functions.times import HISTORY_LENGTH, PADDING, left_pad
 from ratingloom.functions.vectors import unit
 from ratingloom.operators import models
 from ratingloom.operators.dictionary import build_dictionary, map_ids, sequence_to_index
@@ -74,14 +75,32 @@ def m2_map_ids(spark, folder):
     {**HISTORY, "known_items": DICTIONARY_SQL.format(key="item_id", view="(SELECT * FROM interactions WHERE ts_ms < 820454400000)")},
 )
 def m3_sequence_to_index(spark, folder):
+    """Indices of the ten previous items. Each rating looks its item up once, before the histories are built."""
+    known = build_dictionary(views.interactions(spark, folder).where(F.col("ts_ms") < 820_454_400_000), "item_id")
     rows = sequence_rows(spark, folder)
-    history = feature_job.longest_per_user_ts(
-        feature_job.user_history(rows, find_cuts(rows, "user_id", "ts_ms"), mark_last=True)
-    ).select("user_id", "item_id", "ts_ms", F.col("hist.item_id").alias("recent"))
+    indexed = map_ids(rows, known, "item_id", "item_idx", known.count())
+    cuts = find_cuts(rows, "user_id", "ts_ms")
+    history = feature_job.user_history(indexed, cuts, mark_last=True, carry=["item_idx"])
+    sequence = left_pad(F.col("hist.item_idx"), HISTORY_LENGTH, F.lit(PADDING).cast("long"))
+    return feature_job.longest_per_user_ts(history).select(
+        "user_id", "item_id", "ts_ms", joined(sequence).alias("item_sequence")
+    )
+
+
+@query(
+    "m3_stored_sequences",
+    """SELECT user_id, array_to_string(list_concat(list_transform(range(10 - len(seq)), lambda i: CAST(-1 AS BIGINT)), seq), ',')
+       AS item_sequence FROM (SELECT user_id, list(coalesce(idx, (SELECT count(*) FROM known_items)) ORDER BY back DESC) AS seq
+       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_ts DESC, item_id DESC) AS back
+       FROM sequence_rows) LEFT JOIN known_items USING (item_id) WHERE back <= 10 GROUP BY user_id)""",
+    {**HISTORY, "known_items": DICTIONARY_SQL.format(key="item_id", view="(SELECT * FROM interactions WHERE ts_ms < 820454400000)")},
+)
+def m3_stored_sequences(spark, folder):
+    """Indices of histories that are already stored as lists: the newest ten items of every user."""
     known = build_dictionary(views.interactions(spark, folder).where(F.col("ts_ms") < 820_454_400_000), "item_id")
-    history = history.withColumnRenamed("item_id", "current_item")
-    full = sequence_to_index(history, ["user_id", "ts_ms"], "recent", known, known.count())
-    return full.select("user_id", F.col("current_item").alias("item_id"), "ts_ms", joined("item_sequence").alias("item_sequence"))
+    stored = feature_job.current_history(sequence_rows(spark, folder)).select("user_id", F.col("hist.item_id").alias("recent"))
+    full = sequence_to_index(stored, ["user_id"], "recent", known, known.count())
+    return full.select("user_id", joined("item_sequence").alias("item_sequence"))
 
 
 # Items with the statistics of their first row; fitted on the items seen before the cut.

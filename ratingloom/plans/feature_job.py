@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,13 +69,15 @@ def _user_order() -> list[Column]:
     return [F.col("ts_ms"), F.col("event_ts"), F.col("item_id")]
 
 
-def user_history(rows: DataFrame, cuts: KeyCuts | None = None, mark_last: bool = False) -> DataFrame:
-    """Add `hist`, the up to ten earlier (item_id, event_ts) of the user, oldest first.
+def user_history(
+    rows: DataFrame, cuts: KeyCuts | None = None, mark_last: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Add `hist`, the up to ten earlier (item_id, event_ts, carried columns) of the user, oldest first.
 
     With `mark_last` also `__next_ts`, the time of the user's next row, from the same sorted pass.
     """
     extra = {"__next_ts": lambda w: F.lead("event_ts").over(w)} if mark_last else None
-    payload = F.struct("item_id", "event_ts")
+    payload = F.struct("item_id", "event_ts", *carry)
     return previous_rows(rows, "user_id", _user_order(), payload, HISTORY_LENGTH, "hist", cuts, extra)
 
 

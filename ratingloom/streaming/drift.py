@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,11 +25,11 @@ def start_drift_watch(
     fixed = conform(reference)
     progress = {"generation": None}
 
-    def generation(spark, batch_id: int) -> int:
+    def generation(spark: SparkSession, batch_id: int) -> int:
         """First batch after the last report; read back after a restart."""
         if progress["generation"] is None:
-            closed = _closed_batches(spark, reports)
-            progress["generation"] = max((c + 1 for c in closed if c < batch_id), default=0)
+            last = _last_closed(spark, reports, batch_id)
+            progress["generation"] = 0 if last is None else last + 1
         return progress["generation"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -52,10 +53,12 @@ def start_drift_watch(
     )
 
 
-def _closed_batches(spark, reports: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(reports)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    return [int(n.split("=")[1]) for n in names if n.startswith("closed=")]
+def _last_closed(spark: SparkSession, reports: str, before: int) -> int | None:
+    """Newest batch before `before` that closed with a report; None while there is no report."""
+    try:
+        closed = spark.read.parquet(reports)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return closed.where(F.col("closed") < before).agg(F.max("closed")).first()[0]
