@@ -28,7 +28,7 @@ GROWTH = 1.5
 MAX_REPEAT = 2
 BLOCK = 4096  # words per block
 SEED = 17
-SLICE_ROWS = 20_000  # documents per slice of a stream, slots per chunk of the schedule
+SLICE_ROWS = 5_000  # documents per slice of a stream, slots per chunk of the schedule
 GOLDEN = (math.sqrt(5) - 1) / 2
 
 
