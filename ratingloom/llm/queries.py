@@ -1,6 +1,8 @@
 """Importing this module registers every query of the subpackage."""
 
 from ratingloom.llm import (  # noqa: F401
+    decontaminate,
+    licenses,
     mixing,
 )
 from ratingloom.llm.registry import ORACLES, QUERIES  # noqa: F401
