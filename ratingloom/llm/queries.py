@@ -1,8 +1,10 @@
 """Importing this module registers every query of the subpackage."""
 
 from ratingloom.llm import (  # noqa: F401
+    chat,
     decontaminate,
     licenses,
     mixing,
+    vector_search,
 )
 from ratingloom.llm.registry import ORACLES, QUERIES  # noqa: F401
