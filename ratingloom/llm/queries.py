@@ -6,6 +6,7 @@ from ratingloom.llm import (  # noqa: F401
     html_extract,
     licenses,
     mixing,
+    toxicity,
     vector_search,
 )
 from ratingloom.llm.registry import ORACLES, QUERIES  # noqa: F401
