@@ -6,6 +6,7 @@ from ratingloom.llm import (  # noqa: F401
     html_extract,
     licenses,
     mixing,
+    near_dedup,
     toxicity,
     vector_search,
 )
