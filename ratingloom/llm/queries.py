@@ -7,6 +7,7 @@ from ratingloom.llm import (  # noqa: F401
     licenses,
     mixing,
     near_dedup,
+    substring_dedup,
     toxicity,
     vector_search,
 )
