@@ -30,6 +30,8 @@ QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 2048
 RESOLUTIONS = (1, 4, 16)  # segments
 EXACT = 2.0**53
+FEW = 0.02  # share of open pairs from which on they are worked through one by one
+PAIRS = 1 << 17
 
 _BLOCK = "block long, n int, dim int, ids binary, data binary"
 
@@ -148,48 +150,63 @@ def _widened(matrix: np.ndarray, dim: int) -> np.ndarray:
 
 
 def search_tile(
-    queries: np.ndarray, own: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int = K
+    queries: np.ndarray,
+    own: np.ndarray,
+    candidates: np.ndarray,
+    ids: np.ndarray,
+    k: int = K,
+    known: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score) of each query's k best candidates; own[i] is a candidate row to leave out, or -1."""
+    """(query, id, score) of each query's k best candidates, best first; own[i] is a candidate row to leave out, or
+    -1. Candidates that score below known[i], the k-th best of earlier tiles, may be missing.
+
+    A resolution is worked out for the candidates that any query still has open, in one matrix product. When few
+    pairs are left they go on one by one, else the exact scores are a matrix product, too.
+    """
     dim = max(queries.shape[1], candidates.shape[1])
     queries, candidates = _widened(queries, dim), _widened(candidates, dim)
-    slack = 1e-9 * (np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(candidates, axis=1)[None, :] + 1)
-    rows = np.arange(len(queries))
-    best = np.full(len(queries), -np.inf)
+    best = np.full(len(queries), -np.inf) if known is None else known
+    largest = max(1.0, np.abs(queries).max(initial=0)) * max(1.0, np.abs(candidates).max(initial=0))
+    slack = 1e-9 * largest * max(1, dim)  # more than the rounding of a bound
     columns = np.arange(len(candidates))
-    for segments in RESOLUTIONS[:-1]:
-        upper = Bounds(queries, segments).columns @ Bounds(candidates[columns], segments).columns.T
-        upper += slack[:, columns]
-        mine = own[:, None] == columns[None, :]
-        upper[mine] = -np.inf
-        seeds = min(2 * k, len(columns))
-        if seeds >= k:
-            first = np.argpartition(-upper, seeds - 1, axis=1)[:, :seeds]
-            at_query, at_row = np.repeat(rows, seeds), columns[first.ravel()]
-            scores = exact_scores(queries[at_query], candidates[at_row]).astype(np.float64)
-            scores[own[at_query] == at_row] = -np.inf
-            known = np.sort(scores.reshape(len(rows), seeds), axis=1)[:, -k]
-            best = np.maximum(best, known)
-        open_ = (upper >= best[:, None]) & ~mine
-        at_query, at = np.nonzero(open_)
-        at_row = columns[at]
-        columns = np.unique(at_row)
-    fine_q, fine_x = Bounds(queries, RESOLUTIONS[-1]).columns, Bounds(candidates, RESOLUTIONS[-1]).columns
-    found_q, found_x, found_s = [], [], []
-    for at in range(0, len(at_query), 1 << 17):
-        q, x = at_query[at : at + (1 << 17)], at_row[at : at + (1 << 17)]
-        keep = np.einsum("ij,ij->i", fine_q[q], fine_x[x]) + slack[q, x] >= best[q]
-        q, x = q[keep], x[keep]
-        found_q.append(q)
-        found_x.append(ids[x])
-        found_s.append(exact_scores(queries[q], candidates[x]))
-    if not found_q:
-        return (np.zeros(0, np.int64),) * 3
-    q, x, s = np.concatenate(found_q), np.concatenate(found_x), np.concatenate(found_s)
-    order = np.lexsort((x, -s, q))
+    open_ = own[:, None] != columns[None, :]
+    pairs = None
+    for segments in RESOLUTIONS:
+        if not np.isfinite(best).any():
+            break  # nothing to measure bounds by
+        left, right = Bounds(queries, segments).columns, Bounds(candidates[columns], segments).columns
+        if pairs is None:
+            open_ &= left @ right.T + slack >= best[:, None]
+            used = open_.any(axis=0)
+            columns, open_ = columns[used], open_[:, used]
+            if open_.sum() <= FEW * open_.size:
+                at_query, at = np.nonzero(open_)
+                pairs = at_query, columns[at]
+                columns = np.arange(len(candidates))
+        else:
+            q, x = pairs
+            keep = np.einsum("ij,ij->i", left[q], right[x]) + slack >= best[q]
+            pairs = q[keep], x[keep]
+    if pairs is None and largest * dim < EXACT:
+        scores = np.where(open_, queries @ candidates[columns].T, -np.inf)
+        if scores.shape[1] > k:
+            kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+            best = np.maximum(best, kth)
+        q, at = np.nonzero((scores >= best[:, None]) & open_)
+        x, s = columns[at], scores[q, at].astype(np.int64)
+    else:
+        if pairs is None:
+            at_query, at = np.nonzero(open_)
+            pairs = at_query, columns[at]
+        q, x = pairs
+        s = np.concatenate(
+            [np.zeros(0, np.int64)]
+            + [exact_scores(queries[q[i : i + PAIRS]], candidates[x[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)]
+        )
+    order = np.lexsort((ids[x], -s, q))
     q, x, s = q[order], x[order], s[order]
     rank = np.arange(len(q)) - np.searchsorted(q, q)
-    return q[rank < k], x[rank < k], s[rank < k]
+    return q[rank < k], ids[x][rank < k], s[rank < k]
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE) -> DataFrame:
@@ -206,6 +223,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     result = "own_block long, own_row long, query_id long, vec_id long, score long"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}  # by block of queries, the k-th best scores that this task has seen
         for batch in batches:
             for i in range(batch.num_rows):
                 tile = batch.slice(i, 1).to_pylist()[0]
@@ -217,7 +235,12 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
                 for row, a in zip(wanted, asked):
                     row[: a["dim"]] = np.frombuffer(a["data"], "<f8")
                 own = np.asarray([a["own_row"] if a["own_block"] == tile["block"] else -1 for a in asked])
-                at, found, scores = search_tile(wanted, own, matrix, ids, k)
+                before = known.get(tile["q"], np.full(len(asked), -np.inf))
+                at, found, scores = search_tile(wanted, own, matrix, ids, k, before)
+                last = np.flatnonzero(np.arange(len(at)) - np.searchsorted(at, at) == k - 1)
+                now = before.copy()
+                now[at[last]] = np.maximum(now[at[last]], scores[last])
+                known[tile["q"]] = now
                 yield pa.RecordBatch.from_pydict(
                     {
                         "own_block": pa.array([asked[j]["own_block"] for j in at], pa.int64()),
@@ -228,7 +251,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
                     }
                 )
 
-    found = tiles.select("block", "n", "dim", "ids", "data", "queries").mapInArrow(search, result)
+    found = tiles.select("q", "block", "n", "dim", "ids", "data", "queries").mapInArrow(search, result)
     order = Window.partitionBy("own_block", "own_row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
