@@ -5,6 +5,7 @@ from ratingloom.llm import (  # noqa: F401
     decontaminate,
     html_extract,
     licenses,
+    lm_scoring,
     mixing,
     near_dedup,
     substring_dedup,
