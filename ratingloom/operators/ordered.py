@@ -106,7 +106,7 @@ def previous_rows(
     )
     joined = (
         add(heavy, [key, PIECE])
-        .join(F.broadcast(carried), [key, PIECE])
+        .join(cuts.hinted(carried), [key, PIECE])
         .withColumn(name, keep_last(F.concat("__carried", F.col(name)), n))
         .drop("__carried", PIECE)
     )
@@ -143,7 +143,7 @@ def last_known(
     )
     joined = (
         fill(heavy, [key, PIECE])
-        .join(F.broadcast(carried), [key, PIECE])
+        .join(cuts.hinted(carried), [key, PIECE])
         .withColumn(value, F.coalesce(F.col(value), F.col("__carried")))
         .drop("__carried", PIECE)
     )

@@ -31,9 +31,13 @@ def popular_items(scores: DataFrame, k: int = POPULAR_KEPT) -> DataFrame:
     )
 
 
-def best_by_score(scored: DataFrame, key: str, k: int) -> DataFrame:
-    """First k rows per key by score, compared after rounding, then by the lower item id."""
-    return top_per_key(scored, [key], [F.round("score", SCORE_DIGITS).desc(), F.asc("item_id")], k, rank="rank")
+def best_by_score(scored: DataFrame, key: str, k: int, otherwise: str | None = None) -> DataFrame:
+    """First k rows per key by score, compared after rounding, then by the lower item id. Rows without a score come
+    last, in the order of the column `otherwise`."""
+    order = [F.round("score", SCORE_DIGITS).desc_nulls_last()]
+    if otherwise:
+        order.append(F.when(F.col("score").isNull(), F.col(otherwise)))
+    return top_per_key(scored, [key], [*order, F.asc("item_id")], k, rank="rank")
 
 
 def similar_items(pairs: DataFrame, vectors: DataFrame, keep: int = SIMILAR_KEPT) -> DataFrame:

@@ -42,7 +42,7 @@ def overlap_stats(train: DataFrame, val: DataFrame) -> DataFrame:
         "train_rows", "train_users", "train_items", "val_users", "val_items",
         F.try_divide("known_users", "val_users").alias("known_user_share"),
         F.try_divide("known_items", "val_items").alias("known_item_share"),
-        (1 - F.try_divide(F.col("train_rows"), F.col("train_users") * F.col("train_items"))).alias("sparsity"),
+        (1 - F.try_divide(F.col("train_rows"), F.col("train_users").cast("double") * F.col("train_items"))).alias("sparsity"),
     )
 
 

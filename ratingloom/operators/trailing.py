@@ -16,13 +16,18 @@ from ratingloom.functions.times import DAY_MS
 from ratingloom.operators.skew import PIECE, KeyCuts
 
 
+# What is summed up: rows, rows with a value, and the values. Sums of decimals lose no digits, however long the key,
+# and a value that is no number (null, NaN, infinite) counts as a row without one.
+TOTALS = ("n", "k", "s")
+EXACT = "decimal(20,6)"
+
+
 def _difference(days: Sequence[int], names: Mapping[int, tuple[str, str]], upto) -> dict[str, Column]:
     columns = {}
     for n in days:
-        count = upto(0, "n") - upto(n, "n")
-        total = upto(0, "s") - upto(n, "s")
-        columns[names[n][0]] = count
-        columns[names[n][1]] = F.when(count > 0, total / count)
+        rows, known, total = (upto(0, what) - upto(n, what) for what in TOTALS)
+        columns[names[n][0]] = rows
+        columns[names[n][1]] = F.when(known > 0, total.cast("double") / known)
     return columns
 
 
@@ -35,7 +40,8 @@ def trailing_stats(
     names: Mapping[int, tuple[str, str]],
     cuts: KeyCuts | None = None,
 ) -> DataFrame:
-    """Add count and mean of `value` over [t - N days, t - 1 ms] per key; mean is null on no rows.
+    """Add count of rows and mean of `value` over [t - N days, t - 1 ms] per key; the mean is of the rows that have a
+    value, null without any. Values are summed with six decimal places.
 
     `names[N]` gives the two column names. Rows of the same key and time never see each other.
     """
@@ -47,49 +53,53 @@ def trailing_stats(
 
 def _by_window(df, key, at_ms, value, days, names) -> DataFrame:
     ordered = Window.partitionBy(key).orderBy(at_ms)
+    exact = F.col(value).try_cast(EXACT)
 
     def upto(n: int, what: str) -> Column:
         frame = ordered.rangeBetween(Window.unboundedPreceding, -n * DAY_MS - 1)
-        if what == "n":
-            return F.count(F.lit(1)).over(frame)
-        return F.coalesce(F.sum(value).over(frame), F.lit(0.0))
+        if what == "s":
+            return F.coalesce(F.sum(exact).over(frame), F.lit(0))
+        return F.count(F.lit(1) if what == "n" else exact).over(frame)
 
     return df.withColumns(_difference(days, names, upto))
 
 
 def _by_probes(df, key, at_ms, value, days, names, cuts: KeyCuts) -> DataFrame:
-    """Heavy keys: look every window edge up on a timeline that is cut into pieces."""
-    rows = df.join(F.broadcast(cuts.table.select(key)), key)
-    points = rows.groupBy(key, at_ms).agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__s"))
+    """Heavy keys: look every window edge up on a timeline that is cut into pieces.
+
+    The pieces are cut anew, over the events and the window edges together: edges lie up to a window before the
+    first event.
+    """
+    rows = cuts.only(df)
+    exact = F.col(value).try_cast(EXACT)
+    points = rows.groupBy(key, at_ms).agg(
+        F.count(F.lit(1)).alias("__n"), F.count(exact).alias("__k"), F.coalesce(F.sum(exact), F.lit(0)).alias("__s")
+    )
     edges = F.array(*[F.lit(n) for n in (0, *days)])
     probes = points.select(
         key, F.col(at_ms).alias("__owner"), F.explode(edges).alias("__days")
     ).withColumn("__at", F.col("__owner") - F.col("__days").cast("long") * DAY_MS)
-    events = points.select(key, F.col(at_ms).alias("__at"), "__n", "__s")
-    timeline = cuts.heavy(events.unionByName(probes, allowMissingColumns=True), "__at")
+    events = points.select(key, F.col(at_ms).alias("__at"), *[f"__{w}" for w in TOTALS])
+    joined = events.unionByName(probes, allowMissingColumns=True)
+    own = cuts.over(joined, "__at")
+    timeline = own.heavy(joined, "__at")
     before = (
         Window.partitionBy(key, PIECE).orderBy("__at").rangeBetween(Window.unboundedPreceding, -1)
     )
     earlier = Window.partitionBy(key).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    sums = cuts.heavy(events, "__at").groupBy(key, PIECE).agg(F.sum("__n").alias("__n"), F.sum("__s").alias("__s"))
-    bases = cuts.pieces().join(sums, [key, PIECE], "left").select(
-        key,
-        PIECE,
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__base_n"),
-        F.coalesce(F.sum("__s").over(earlier), F.lit(0.0)).alias("__base_s"),
+    sums = own.heavy(events, "__at").groupBy(key, PIECE).agg(*[F.sum(f"__{w}").alias(f"__{w}") for w in TOTALS])
+    bases = own.pieces().join(sums, [key, PIECE], "left").select(
+        key, PIECE, *[F.coalesce(F.sum(f"__{w}").over(earlier), F.lit(0)).alias(f"__base_{w}") for w in TOTALS]
     )
     looked_up = (
-        timeline.withColumns({
-            "__cum_n": F.coalesce(F.sum("__n").over(before), F.lit(0)),
-            "__cum_s": F.coalesce(F.sum("__s").over(before), F.lit(0.0)),
-        })
+        timeline.withColumns({f"__cum_{w}": F.coalesce(F.sum(f"__{w}").over(before), F.lit(0)) for w in TOTALS})
         .where(F.col("__owner").isNotNull())
-        .join(F.broadcast(bases), [key, PIECE])
+        .join(own.hinted(bases), [key, PIECE])
         .groupBy(key, F.col("__owner").alias(at_ms))
         .agg(*[
             F.max(F.when(F.col("__days") == n, F.col(f"__base_{w}") + F.col(f"__cum_{w}"))).alias(f"__{w}_{n}")
             for n in (0, *days)
-            for w in ("n", "s")
+            for w in TOTALS
         ])
     )
     stats = looked_up.select(

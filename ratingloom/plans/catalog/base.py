@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.session import shared_folder
+from ratingloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,7 +55,7 @@ def query(name: str, sql: str | None = None, extra: dict[str, str] | None = None
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder all executors share."""
-    return f"{shared_folder(spark)}/ratingloom-{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, name)
 
 
 def joined(values, separator: str = ",") -> Column:

@@ -20,7 +20,7 @@ from ratingloom.operators.encoders import (
 from ratingloom.operators.skew import find_cuts
 from ratingloom.operators.skipgram import sequence_positions, skipgram_pairs
 from ratingloom.plans import feature_job
-from ratingloom.plans.catalog.base import joined, query, rounded
+from ratingloom.plans.catalog.base import CUT_MS, joined, query, rounded
 from ratingloom.plans.catalog.ranking import DIMENSION
 from ratingloom.plans.catalog.rows import SEQUENCES
 from ratingloom.plans.catalog.windows import HISTORY, ITEM_STATS, item_stats, sequence_rows
@@ -233,7 +233,7 @@ def m14_item_embeddings(spark, folder):
     """Item vectors learned from the skip-gram pairs."""
     rows = views.interactions(spark, folder)
     vectors = models.learn_item_vectors(training_pairs(spark, folder), build_dictionary(rows, "item_id"), dimension=16, iterations=3)
-    return vectors.select("item_id", F.size("vector").alias("dimension"))
+    return vectors.select("item_id", F.posexplode("vector").alias("pos", "value")).withColumn("value", rounded("value"))
 
 
 PAIR_SCORES = {
@@ -265,13 +265,14 @@ def m16_batch_score(spark, folder):
 
 @query("m17_ranker")
 def m17_ranker(spark, folder):
-    """Logistic ranker on item features and the mean vector of the history; scores of all training rows."""
-    from ratingloom.plans.catalog.sampling import ranker_rows
+    """Logistic ranker on item features and the mean vector of the history, fitted on the training rows, with positives
+    weighted by the sampling ratio; scores of the validation rows."""
+    from ratingloom.plans.catalog.sampling import RANKER_RATIO, ranker_rows
 
     rows = durable(ranker_rows(spark, folder))
     features = F.concat("item_features", "history_vector")
-    model = models.fit_ranker(rows, features, "label", positive_weight=1.0)
-    return models.apply_ranker(model, rows, features).select("user_id", "item_id", "ts_ms", "label", rounded("score").alias("score"))
+    model = models.fit_ranker(rows.where(F.col("ts_ms") < CUT_MS), features, "label", positive_weight=float(RANKER_RATIO))
+    return models.apply_ranker(model, rows.where(F.col("ts_ms") >= CUT_MS), features).select("user_id", "item_id", "ts_ms", "label", rounded("score").alias("score"))
 
 
 @query(

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.vectors import unit
 from ratingloom.operators import ranking, similarity, stats
-from ratingloom.operators.models import batch_score, mean_vectors
+from ratingloom.operators.models import batch_score, cross_scores, mean_vectors
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import joined, query, rounded, scratch
 from ratingloom.plans.catalog.statistics import POPULARITY_SQL
+from ratingloom.session import durable
 from ratingloom.sources import files, views
 
 DIMENSION = 64
@@ -45,14 +46,11 @@ def t1_popular_items(spark, folder):
     return ranking.popular_items(stats.popularity(views.item_ratings(spark, folder)))
 
 
-def neighbours(spark, folder):
-    units = similarity.as_vectors(views.vectors(spark, folder), "item_id", unit(F.col("vector")))
-    return similarity.best_pairs(units, units, ranking.SIMILAR_CANDIDATES, skip_same=True)
-
-
 def similar_items(spark, folder):
-    raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
-    return ranking.similar_items(neighbours(spark, folder), raw)
+    # read twice below, and once more to size the blocks
+    raw = durable(similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector"))
+    units = durable(raw.select("id", unit(F.col("vector")).alias("vector")))
+    return ranking.similar_items(similarity.best_pairs(units, units, ranking.SIMILAR_CANDIDATES, skip_same=True), raw)
 
 
 def similar_lists(spark, folder):
@@ -100,7 +98,7 @@ def t4_recent_purchases(spark, folder):
 def user_vectors(spark, folder):
     """Mean vector of the items a user rated."""
     rows = views.interactions(spark, folder).select("user_id", "item_id")
-    return mean_vectors(rows, "user_id", views.vectors(spark, folder), DIMENSION)
+    return durable(mean_vectors(rows, "user_id", views.vectors(spark, folder), DIMENSION))
 
 
 def user_recs(spark, folder, k: int = ranking.RECOMMENDED):
@@ -118,15 +116,16 @@ def t5_topk_per_user(spark, folder):
 
 @query(
     "j9_cross_score",
-    """SELECT user_id, count(*) AS n_scored, round(min(score), 6) AS low, round(max(score), 6) AS high FROM (
-       SELECT u.user_id, list_dot_product(u.vector, v.vector) AS score FROM user_vectors u, vectors v) GROUP BY user_id""",
-    RECS,
+    """SELECT u.user_id, p.item_id, round(list_dot_product(u.vector, v.vector), 6) + 0.0 AS score FROM user_vectors u,
+       (SELECT item_id FROM popularity ORDER BY score DESC, item_id LIMIT 20) p LEFT JOIN vectors v ON p.item_id = v.item_id""",
+    {**RECS, "popularity": POPULARITY_SQL},
 )
 def j9_cross_score(spark, folder):
-    users = similarity.as_vectors(user_vectors(spark, folder), "user_id", "vector")
-    raw = similarity.as_vectors(views.vectors(spark, folder), "item_id", "vector")
-    found = similarity.score_all(users, raw).withColumnRenamed("query_id", "user_id")
-    return found.withColumns({c: rounded(c) for c in ("low", "high")})
+    """Every user's score for each of the stated items, here the twenty popular candidates; null without a vector."""
+    popular = ranking.popular_items(stats.popularity(views.item_ratings(spark, folder)), ranking.POPULAR_CANDIDATES)
+    asked = popular.select("item_id").join(views.vectors(spark, folder).select("item_id", "vector"), "item_id", "left")
+    scored = cross_scores(user_vectors(spark, folder), asked.collect())  # twenty rows at most
+    return scored.withColumn("score", rounded("score"))
 
 
 CANDIDATES: dict[str, str] = {
@@ -156,21 +155,29 @@ def candidates(spark, folder):
 @query(
     "t6_rank_candidates",
     """SELECT user_id, item_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (SELECT user_id, item_id, score,
-       row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM (
-       SELECT c.user_id, c.item_id, 1 / (1 + exp(-list_dot_product(a.vector, b.vector))) AS score
-       FROM candidates c JOIN vectors a ON c.last_item = a.item_id JOIN vectors b ON c.item_id = b.item_id))
+       row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC NULLS LAST,
+         CASE WHEN score IS NULL THEN position END, item_id) AS rank FROM (
+       SELECT c.user_id, c.item_id, c.position, 1 / (1 + exp(-list_dot_product(a.vector, b.vector))) AS score
+       FROM candidates c LEFT JOIN vectors a ON c.last_item = a.item_id LEFT JOIN vectors b ON c.item_id = b.item_id))
        WHERE rank <= 10""",
     CANDIDATES,
 )
 def t6_rank_candidates(spark, folder):
-    """Candidates with the vectors of the user's last item and their own, scored in batches, best ten kept."""
+    """Candidates scored in batches by the vectors of the user's last item and their own, best ten kept.
+
+    A pair without both vectors has no score; it follows the scored ones in the order of the candidates, similar
+    items first, then popular ones. So every user gets a list.
+    """
     vectors = views.vectors(spark, folder)
     target = vectors.select(F.col("item_id").alias("last_item"), F.col("vector").alias("target_vector"))
     item = vectors.select("item_id", F.col("vector").alias("item_vector"))
-    rows = candidates(spark, folder).join(target, "last_item").join(item, "item_id")
-    scored = batch_score(rows, keep=["user_id", "item_id"])
-    best = ranking.best_by_score(scored, "user_id", ranking.RECOMMENDED)
-    return best.withColumn("score", rounded("score"))
+    rows = durable(candidates(spark, folder).join(target, "last_item", "left").join(item, "item_id", "left"))
+    known = F.col("target_vector").isNotNull() & F.col("item_vector").isNotNull()
+    kept = ["user_id", "item_id", "position"]
+    scored = batch_score(rows.where(known), keep=kept)
+    every = scored.unionByName(rows.where(~known).select(*kept, F.lit(None).cast("double").alias("score")))
+    best = ranking.best_by_score(every, "user_id", ranking.RECOMMENDED, otherwise="position")
+    return best.drop("position").withColumn("score", rounded("score"))
 
 
 @query(

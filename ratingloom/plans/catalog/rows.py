@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions import text, times
 from ratingloom.operators import clean
-from ratingloom.operators.skipgram import sequence_lists, sequence_positions
+from ratingloom.operators.skipgram import positions_of_parts, sequence_parts, sequence_positions
 from ratingloom.plans.catalog.base import CUT_MS, SEED, joined, query, scratch
 from ratingloom.sources import files, snapshot, views
 from ratingloom.sources.changes import decode_changes, encode_changes
@@ -32,15 +32,14 @@ def src_parquet(spark, folder):
 
 @query(
     "src_jsonl_sequences",
-    """SELECT array_to_string(list(item_id ORDER BY pos), ',') AS items, count(*) AS n_items
-       FROM positions GROUP BY user_id, (pos - 1) // 10000""",
+    "SELECT user_id, CAST(pos AS INTEGER) AS pos, item_id FROM positions",
     SEQUENCES,
 )
 def src_jsonl_sequences(spark, folder):
+    """Sequences written as JSON lines, in parts for long users, and read back as rows."""
     path = scratch(spark, "sequences")
-    files.write_sequences(sequence_lists(sequence_positions(views.interactions(spark, folder))), path)
-    lists = files.read_sequences(spark, path, "bigint")
-    return lists.select(joined("items").alias("items"), F.size("items").cast("long").alias("n_items"))
+    files.write_sequence_parts(sequence_parts(sequence_positions(views.interactions(spark, folder))), path)
+    return positions_of_parts(files.read_sequence_parts(spark, path, "bigint", "bigint"))
 
 
 def change_records(spark, folder):

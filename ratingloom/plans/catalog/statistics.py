@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ratingloom.operators import sets, stats
 from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.ranking import POPULAR_CANDIDATES, popular_items
-from ratingloom.operators.skipgram import co_occurring, sequence_lists, sequence_positions
+from ratingloom.operators.dictionary import build_dictionary
+from ratingloom.operators.skipgram import co_occurring, sequence_positions
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import CUT_MS, joined, query, rounded
 from ratingloom.plans.catalog.rows import SEQUENCES, enriched, labelled
@@ -88,20 +89,10 @@ def a6_user_item_sets(spark, folder):
     return stats.user_items(views.interactions(spark, folder))
 
 
-@query(
-    "a7_user_sequences",
-    """SELECT user_id, (pos - 1) // 10000 AS segment, count(*) AS n_items,
-       array_to_string(list(item_id ORDER BY pos), ',') AS items FROM positions GROUP BY 1, 2""",
-    SEQUENCES,
-)
+@query("a7_user_sequences", "SELECT user_id, CAST(pos AS INTEGER) AS pos, item_id FROM positions", SEQUENCES)
 def a7_user_sequences(spark, folder):
-    lists = sequence_lists(sequence_positions(views.interactions(spark, folder)))
-    return lists.select(
-        "user_id",
-        F.col("segment").cast("long").alias("segment"),
-        F.size("items").cast("long").alias("n_items"),
-        joined("items").alias("items"),
-    )
+    """Every user's items in order, as rows, so that no sequence is too long."""
+    return sequence_positions(views.interactions(spark, folder))
 
 
 LOCAL = {"local_times": "SELECT timezone('US/Eastern', timezone('UTC', ts)) AS t FROM events"}
@@ -126,21 +117,36 @@ def a9_basket_freq(spark, folder):
     return stats.basket_frequency(sequence_positions(views.interactions(spark, folder)))
 
 
+# Every item is asked about this many others, found by their place in the dictionary.
+PARTNERS = 20
+
+
 @query(
     "a9_co_occurrence",
-    """SELECT a.item_id AS a, b.item_id AS b FROM (SELECT DISTINCT user_id, item_id FROM positions) a JOIN (
-       SELECT DISTINCT user_id, item_id FROM positions WHERE item_id IN (SELECT item_id FROM (
-         SELECT item_id, count(DISTINCT user_id) AS n FROM positions GROUP BY item_id) ORDER BY n DESC, item_id LIMIT 50)) b
-       USING (user_id) GROUP BY ALL""",
-    SEQUENCES,
+    f"""SELECT a, b FROM (SELECT DISTINCT x.item_id AS a, y.item_id AS b FROM numbered x, (SELECT unnest(range(1, {PARTNERS + 1})) AS d),
+        numbered y WHERE y.idx = (x.idx * 31 + d * 17) % (SELECT count(*) FROM numbered))
+        SEMI JOIN (SELECT p.item_id AS a, q.item_id AS b FROM baskets p JOIN baskets q USING (user_id)) USING (a, b)""",
+    {
+        **SEQUENCES,
+        "baskets": "SELECT DISTINCT user_id, item_id FROM positions",
+        "numbered": "SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM (SELECT DISTINCT item_id FROM positions)",
+    },
 )
 def a9_co_occurrence(spark, folder):
-    """Which items share a basket with one of the fifty most frequent items."""
+    """Of the asked pairs, twenty for each item, those that share a basket."""
     positions = durable(sequence_positions(views.interactions(spark, folder)))
     frequency = durable(stats.basket_frequency(positions))
-    top = [r["item_id"] for r in frequency.orderBy(F.desc("n_sequences"), "item_id").limit(50).collect()]
-    other = F.explode(F.array(*[F.lit(i).cast("long") for i in top]))
-    asked = frequency.select(F.col("item_id").alias("a"), other.alias("b"))
+    numbered = durable(build_dictionary(positions, "item_id"))
+    size = numbered.count()
+    draw = F.explode(F.sequence(F.lit(1), F.lit(PARTNERS)))
+    other = numbered.select(F.col("item_id").alias("b"), F.col("idx").alias("to"))
+    asked = (
+        numbered.select(F.col("item_id").alias("a"), "idx", draw.alias("d"))
+        .withColumn("to", F.pmod(F.col("idx") * 31 + F.col("d") * 17, F.lit(max(1, size))))
+        .join(other, "to")
+        .select("a", "b")
+        .distinct()
+    )
     return co_occurring(asked, stats.user_items(positions), frequency)
 
 

@@ -27,6 +27,20 @@ def _frames(key: str, prefix: str, days) -> str:
 
 
 ITEM_STATS = {**FIRSTS, "item_stats": f"SELECT item_id, ts_ms, rating, {_frames('item_id', 'item_rating', feature_job.ITEM_DAYS)} FROM firsts"}
+# Some ratings are made null by a rule, so that rows and rows with a value differ.
+GAP = "CASE WHEN (ts_ms // 1000) % 7 <> 0 THEN rating END"
+GAPPY = {
+    **FIRSTS,
+    "gappy": f"SELECT * REPLACE ({GAP} AS rating) FROM firsts",
+    "gappy_stats": f"SELECT item_id, ts_ms, rating, {_frames('item_id', 'item_rating', feature_job.ITEM_DAYS)} FROM gappy",
+    "gappy_rows": f"SELECT * REPLACE ({GAP} AS rating) FROM interactions",
+}
+
+
+def with_gaps(rows):
+    return rows.withColumn("rating", F.when((F.col("ts_ms") / 1000).cast("long") % 7 != 0, F.col("rating")))
+
+
 USER_STATS_SQL = f"SELECT user_id, item_id, ts_ms, {_frames('user_id', 'user_rating', (90,))} FROM interactions"
 
 # Distinct (user, item, time) rows; a full copy would only repeat its own row.
@@ -59,13 +73,20 @@ def item_stats(spark, folder):
     return feature_job.item_features(points, find_cuts(rows, "item_id", "ts_ms"))
 
 
-@query("w2_item_trailing_stats", "SELECT * FROM item_stats", ITEM_STATS)
+@query("w2_item_trailing_stats", "SELECT * FROM gappy_stats", GAPPY)
 def w2_item_trailing_stats(spark, folder):
-    return item_stats(spark, folder)
+    rows = views.item_ratings(spark, folder)
+    points = with_gaps(feature_job.item_points(rows).drop("event_ts"))
+    return feature_job.item_features(points, find_cuts(rows, "item_id", "ts_ms"))
 
 
-@query("w3_user_trailing_stats", USER_STATS_SQL)
+@query("w3_user_trailing_stats", USER_STATS_SQL.replace("FROM interactions", "FROM gappy_rows"), GAPPY)
 def w3_user_trailing_stats(spark, folder):
+    rows = with_gaps(views.interactions(spark, folder).drop("event_ts"))
+    return feature_job.user_stats(rows, find_cuts(rows, "user_id", "ts_ms")).drop("rating")
+
+
+def user_stats(spark, folder):
     rows = views.interactions(spark, folder).drop("event_ts")
     return feature_job.user_stats(rows, find_cuts(rows, "user_id", "ts_ms")).drop("rating")
 

@@ -40,8 +40,14 @@ def training_table(
     )
     # read twice below, and a draw is costlier than a read
     rows = durable(positives.select(*columns).unionByName(negatives.select(*columns)))
-    looked_up = asof_join(rows, item_stats, "item_id", "ts_ms", "ts_ms", list(stat_columns), ttl_days, counted=rows)
-    full = attach_features(many_to_one(rows, metadata, ["item_id"]), looked_up.drop("matched_at"), ["item_id", "ts_ms"])
+    # a positive has statistics of its own moment; only what is left needs the as-of lookup
+    own = item_stats.select("item_id", "ts_ms", *stat_columns, F.lit(True).alias("__own"))
+    tried = durable(attach_features(rows, own, ["item_id", "ts_ms"]))
+    found = tried.where("__own").drop("__own")
+    rest = tried.where("__own IS NULL").select(*columns)
+    looked_up = asof_join(rest, item_stats, "item_id", "ts_ms", "ts_ms", list(stat_columns), ttl_days, counted=rest)
+    late = attach_features(rest, looked_up.drop("matched_at"), ["item_id", "ts_ms"])
+    full = many_to_one(found.unionByName(late), metadata, ["item_id"])
     return shuffle_rows(full, seed, ["user_id", "item_id", "ts_ms", "rating"])
 
 

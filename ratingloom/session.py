@@ -50,20 +50,32 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local"):
+            if not (context.master == "local" or context.master.startswith("local[")):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="ratingloom-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table of this application in the shared folder."""
+    return f"{shared_folder(spark)}/ratingloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_tables(spark: SparkSession) -> None:
+    """Delete what `durable` and `scratch_path` have kept for this application; to be called at the end of a job."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/ratingloom-{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute once, keep as a table in the shared folder, and go on from there.
 
     That cuts lineage and outlives lost executors, as a checkpoint does; being parquet, it is also read
-    column by column, and its true size is known when later joins are planned.
+    column by column, and its true size is known when later joins are planned. `clear_tables` removes it.
     """
-    path = f"{shared_folder(df.sparkSession)}/ratingloom-table-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

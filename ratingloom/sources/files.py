@@ -69,6 +69,15 @@ def write_sequences(lists: DataFrame, path: str, column: str = "items") -> None:
     lists.select(F.to_json(column)).write.mode("overwrite").text(path)
 
 
+def write_sequence_parts(parts: DataFrame, path: str) -> None:
+    """One JSON record per part of a sequence: user_id, part, first, items."""
+    parts.select("user_id", "part", "first", "items").write.mode("overwrite").json(path)
+
+
+def read_sequence_parts(spark: SparkSession, path: str, user: str = "string", item: str = "string") -> DataFrame:
+    return spark.read.schema(f"user_id {user}, part bigint, first int, items array<{item}>").json(path)
+
+
 def read_sequences(spark: SparkSession, path: str, element: str = "string") -> DataFrame:
     """JSON lists back as `items: array<element>`."""
     return spark.read.text(path).select(F.from_json("value", f"array<{element}>").alias("items"))
