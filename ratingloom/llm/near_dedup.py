@@ -8,9 +8,9 @@ Document frequencies are counted over all texts in a fixed number of hash bucket
 tasks has the same size for any corpus; only shingles found in a good part of all texts stand out in it, which is
 what the weight is for.
 
-Groups: texts with the same words are one node from the start. In a bucket, members are compared with one pivot at
-a time, never all with all; a further pivot follows as long as the bucket is not of one class and pivots find
-new links. Buckets are pre-aggregated before the shuffle, and joins to a large bucket's pivot can be split.
+Groups: texts with the same words are one node from the start. In a bucket, members are compared with two pivots at
+a time, never all with all; further pivots follow as long as the bucket is not of one class and pivots find new
+links. Buckets are pre-aggregated before the shuffle, and joins to a large bucket's pivots can be split.
 """
 
 from __future__ import annotations
@@ -32,9 +32,9 @@ from ratingloom.session import durable
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair of similarity 0.8 meets in some band with probability 0.9992
-BUCKETS = 1 << 18  # of document frequencies
+BUCKETS = 1 << 16  # of document frequencies
 POOL = 1 << 16  # random triples per sample, chosen by shingle hash
-LEAST_ROUNDS = 3  # pivots per bucket, at least, before a round without new links ends the search
+LEAST_ROUNDS = 2  # of two pivots per bucket, before a round without new links ends the search
 SEED = 29
 
 _POOL: list[np.ndarray] = []
@@ -187,6 +187,48 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Broadcast, least: float)
     return joined.mapInArrow(run, "a string, b string")
 
 
+def linked(buckets: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame | None:
+    """The verified pairs (a, b) that tie the members of `buckets` (bucket, content) into classes; None if none is.
+
+    A round takes the least and the greatest member of each bucket that have not been pivots, and compares them with
+    all members of other classes. Buckets of one class are done. Two rounds compare all members of buckets of up
+    to five; beyond them, rounds go on as long as they find links.
+    """
+    links, open_, rounds = None, buckets.withColumn("component", F.col("content")), 0
+    free = open_
+    while True:
+        rounds += 1
+        chosen = free.groupBy("bucket").agg(
+            F.min(F.struct("content", "component")).alias("low"), F.max(F.struct("content", "component")).alias("high")
+        )
+        pivots = durable(
+            chosen.select("bucket", F.explode(F.array_distinct(F.array("low", "high"))).alias("p")).select(
+                "bucket", F.col("p.content").alias("pivot"), F.col("p.component").alias("own")
+            )
+        )
+        asked = open_.join(pivots, "bucket").where("component != own")
+        pairs = asked.select(F.least("pivot", "content").alias("a"), F.greatest("pivot", "content").alias("b")).distinct()
+        found = durable(verify(pairs, texts, weights, least))
+        if found.limit(1).count():
+            links = found if links is None else links.unionByName(found)
+        elif rounds >= LEAST_ROUNDS:
+            return links
+        if links is None:
+            labelled = open_
+        else:
+            classes = components(links).withColumnRenamed("node", "content")
+            labelled = open_.drop("component").join(classes, "content", "left")
+            labelled = labelled.withColumn("component", F.coalesce("component", "content"))
+        # what is left: buckets of more than one class, and of them the members that were no pivots yet
+        labelled = durable(labelled)
+        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
+        open_ = durable(labelled.join(mixed.select("bucket"), "bucket"))
+        used = pivots.select("bucket", F.col("pivot").alias("content"))
+        free = durable((free.drop("component").join(open_, ["bucket", "content"])).join(used, ["bucket", "content"], "left_anti"))
+        if not free.limit(1).count():
+            return links
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, digest, row, class_id, class_size, keep: one row per row of `docs` (doc_id, text).
 
@@ -199,47 +241,18 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     weights = spark.sparkContext.broadcast(table)
     prints = durable(fingerprints(docs, weights))
     nodes = prints.where("content is not null").groupBy("content").agg(F.min(F.struct("doc_id", "digest", "bands")).alias("n"))
-    buckets = nodes.select("content", F.explode("n.bands").alias("bucket"))
+    nodes = durable(nodes.select("content", "n.*"))
+    buckets = nodes.select("content", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
     buckets = durable(buckets.join(shared, "bucket"))
-    wanted = buckets.select("content").distinct().join(
-        nodes.select("content", F.col("n.doc_id").alias("doc_id"), F.col("n.digest").alias("digest")), "content"
-    )
+    wanted = nodes.select("content", "doc_id", "digest").join(buckets.select("content").distinct(), "content")
     sources = docs.select(
         F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__digest"), "text"
     )
     same = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.col("digest") == F.col("__digest"))
     texts = durable(sources.join(wanted, same).select("content", "text").dropDuplicates(["content"]))
-
-    links = None
-    classes = None
-    pivots = None
-    number = 0
-    while True:
-        number += 1
-        members = buckets
-        if classes is not None:
-            labelled = buckets.join(classes.withColumnRenamed("node", "content"), "content", "left")
-            members = labelled.withColumn("component", F.coalesce("component", "content"))
-            mixed = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-            members = durable(members.join(mixed.select("bucket"), "bucket"))
-        free = members if pivots is None else members.join(pivots, ["bucket", "content"], "left_anti")
-        chosen = durable(free.groupBy("bucket").agg(F.min("content").alias("pivot")))
-        if pivots is not None and chosen.limit(1).count() == 0:
-            break
-        own = chosen.join(members, (chosen["bucket"] == members["bucket"]) & (chosen["pivot"] == members["content"]))
-        label = "component" if classes is not None else "content"
-        own = own.select(chosen["bucket"], "pivot", F.col(label).alias("__own"))
-        asked = members.join(own, "bucket").where(F.col(label) != F.col("__own"))
-        pairs = asked.select(F.least("pivot", "content").alias("a"), F.greatest("pivot", "content").alias("b")).distinct()
-        found = durable(verify(pairs, texts, weights, least))
-        new = found.count()
-        links = found if links is None else links.unionByName(found)
-        classes = durable(components(links)) if new else classes
-        done = chosen.select("bucket", F.col("pivot").alias("content"))
-        pivots = done if pivots is None else durable(pivots.unionByName(done))
-        if not new and (classes is None or number >= LEAST_ROUNDS):
-            break
+    links = linked(buckets, texts, weights, least)
+    classes = None if links is None else durable(components(links))
     placed = prints.drop("bands")
     if classes is not None:
         placed = placed.join(classes.withColumnRenamed("node", "content"), "content", "left")
