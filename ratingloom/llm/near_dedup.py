@@ -8,20 +8,21 @@ Document frequencies are counted over all texts in a fixed number of hash bucket
 tasks has the same size for any corpus; only shingles found in a good part of all texts stand out in it, which is
 what the weight is for.
 
-Groups: texts with the same words are one node from the start. In a bucket, members are compared with two pivots at
-a time, never all with all; further pivots follow as long as the bucket is not of one class and pivots find new
-links. Buckets are pre-aggregated before the shuffle, and joins to a large bucket's pivots can be split.
+Groups: texts with the same words are one node from the start. In a bucket, members are compared with two pivots,
+never all with all; what these leave apart meets again in finer buckets. Buckets are pre-aggregated before the
+shuffle, and joins to a large bucket's pivots can be split.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm.components import components
@@ -34,7 +35,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # a pair of similarity 0.8 meets in some band with probability 0.9992
 BUCKETS = 1 << 16  # of document frequencies
 POOL = 1 << 16  # random triples per sample, chosen by shingle hash
-LEAST_ROUNDS = 2  # of two pivots per bucket, before a round without new links ends the search
+DEPTHS = (1, 2, 3)  # bands that a bucket is made of, one pass after the other
 SEED = 29
 
 _POOL: list[np.ndarray] = []
@@ -187,46 +188,51 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Broadcast, least: float)
     return joined.mapInArrow(run, "a string, b string")
 
 
-def linked(buckets: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame | None:
-    """The verified pairs (a, b) that tie the members of `buckets` (bucket, content) into classes; None if none is.
+def bucket_keys(depth: int) -> Column:
+    """Keys of all combinations of `depth` bands of the column `bands`."""
+    keys = [
+        F.xxhash64(*[part for i in chosen for part in (F.lit(i), F.get("bands", F.lit(i)))])
+        for chosen in itertools.combinations(range(BANDS), depth)
+    ]
+    return F.explode(F.array(*keys))
 
-    A round takes the least and the greatest member of each bucket that have not been pivots, and compares them with
-    all members of other classes. Buckets of one class are done. Two rounds compare all members of buckets of up
-    to five; beyond them, rounds go on as long as they find links.
+
+def linked(nodes: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame:
+    """(node, component) of the texts that a chain of verified pairs ties to others; `nodes` has content and bands.
+
+    First the members of a bucket are compared with its least and greatest one. Members of buckets that are not of
+    one class after that meet again in finer buckets, those of every two bands and then every three, where
+    dissimilar texts seldom stay together while similar ones share many; again with two pivots each. So the work per
+    text is bounded, and no bucket is worked through pair by pair.
     """
-    links, open_, rounds = None, buckets.withColumn("component", F.col("content")), 0
-    free = open_
-    while True:
-        rounds += 1
-        chosen = free.groupBy("bucket").agg(
-            F.min(F.struct("content", "component")).alias("low"), F.max(F.struct("content", "component")).alias("high")
-        )
-        pivots = durable(
-            chosen.select("bucket", F.explode(F.array_distinct(F.array("low", "high"))).alias("p")).select(
-                "bucket", F.col("p.content").alias("pivot"), F.col("p.component").alias("own")
-            )
+    links, classes = None, None
+    members = nodes
+    for depth in DEPTHS:
+        buckets = members.select("content", bucket_keys(depth).alias("bucket"))
+        if classes is not None:
+            buckets = buckets.join(classes.withColumnRenamed("node", "content"), "content", "left")
+            component = F.coalesce("component", "content")
+        else:
+            component = F.col("content")
+        # at first the same texts are pivots of many buckets, which saves comparisons; then others for each bucket
+        place = F.lit(0).cast("long") if depth == 1 else F.xxhash64("content", "bucket")
+        buckets = buckets.select("bucket", F.struct(place.alias("place"), "content", component.alias("component")).alias("m"))
+        own = F.col("m.component")
+        ends = buckets.groupBy("bucket").agg(
+            F.min("m").alias("low"), F.max("m").alias("high"), F.min(own).alias("x"), F.max(own).alias("y")
         )
-        asked = open_.join(pivots, "bucket").where("component != own")
-        pairs = asked.select(F.least("pivot", "content").alias("a"), F.greatest("pivot", "content").alias("b")).distinct()
+        pivots = ends.where("x != y").select("bucket", F.explode(F.array("low", "high")).alias("p"))
+        asked = buckets.join(pivots, "bucket").where("m.component != p.component")
+        asked = asked.select(F.col("m.content").alias("m"), F.col("p.content").alias("p"))
+        pairs = asked.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct()
+        pairs = durable(pairs)
         found = durable(verify(pairs, texts, weights, least))
-        if found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
-        elif rounds >= LEAST_ROUNDS:
-            return links
-        if links is None:
-            labelled = open_
-        else:
-            classes = components(links).withColumnRenamed("node", "content")
-            labelled = open_.drop("component").join(classes, "content", "left")
-            labelled = labelled.withColumn("component", F.coalesce("component", "content"))
-        # what is left: buckets of more than one class, and of them the members that were no pivots yet
-        labelled = durable(labelled)
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-        open_ = durable(labelled.join(mixed.select("bucket"), "bucket"))
-        used = pivots.select("bucket", F.col("pivot").alias("content"))
-        free = durable((free.drop("component").join(open_, ["bucket", "content"])).join(used, ["bucket", "content"], "left_anti"))
-        if not free.limit(1).count():
-            return links
+        links = found if links is None else links.unionByName(found)
+        classes = durable(components(links))
+        # those that were not alike may each be like others of their buckets
+        apart = pairs.join(found, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("content")).distinct()
+        members = nodes.join(apart, "content")
+    return classes
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -242,22 +248,18 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     prints = durable(fingerprints(docs, weights))
     nodes = prints.where("content is not null").groupBy("content").agg(F.min(F.struct("doc_id", "digest", "bands")).alias("n"))
     nodes = durable(nodes.select("content", "n.*"))
-    buckets = nodes.select("content", F.explode("bands").alias("bucket"))
+    buckets = nodes.select("content", bucket_keys(1).alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
-    buckets = durable(buckets.join(shared, "bucket"))
-    wanted = nodes.select("content", "doc_id", "digest").join(buckets.select("content").distinct(), "content")
+    met = buckets.join(shared, "bucket").select("content").distinct()
+    nodes = durable(nodes.join(met, "content"))
     sources = docs.select(
         F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__digest"), "text"
     )
     same = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.col("digest") == F.col("__digest"))
+    wanted = nodes.select("content", "doc_id", "digest")
     texts = durable(sources.join(wanted, same).select("content", "text").dropDuplicates(["content"]))
-    links = linked(buckets, texts, weights, least)
-    classes = None if links is None else durable(components(links))
-    placed = prints.drop("bands")
-    if classes is not None:
-        placed = placed.join(classes.withColumnRenamed("node", "content"), "content", "left")
-    else:
-        placed = placed.withColumn("component", F.lit(None).cast("string"))
+    classes = linked(nodes, texts, weights, least)
+    placed = prints.drop("bands").join(classes.withColumnRenamed("node", "content"), "content", "left")
     own_class = F.coalesce("component", "content", F.concat(F.lit("row "), F.col("row").cast("string")))
     placed = durable(placed.withColumn("component", own_class))
     heads = placed.groupBy("component").agg(
