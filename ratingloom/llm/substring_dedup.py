@@ -118,8 +118,9 @@ def paragraph_bands(docs: DataFrame) -> DataFrame:
 
 
 def alignments(bands: DataFrame) -> DataFrame:
-    """(row, other, shift, low, high): stretches of words to compare with those `shift` words on in row `other`, the
-    first row of a bucket. Paragraphs of one diagonal make one stretch, with room on both sides."""
+    """(row, other, shift, low, high, paragraphs): stretches of words to compare with those `shift` words on in row
+    `other`, the first row of a bucket. Paragraphs of one diagonal make one stretch, with room on both sides;
+    `paragraphs` has their places."""
     first = bands.groupBy("bucket").agg(F.min(F.struct("row", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     shared = first.where("n > 1").select("bucket", F.col("first.row").alias("other"), F.col("first.pos").alias("at"))
     return (
@@ -129,6 +130,7 @@ def alignments(bands: DataFrame) -> DataFrame:
         .agg(
             (F.min("pos") - LEAST_WORDS).alias("low"),
             (F.max("pos") + PARAGRAPH + LEAST_WORDS).alias("high"),
+            F.collect_set("pos").alias("paragraphs"),
         )
     )
 
@@ -220,7 +222,7 @@ def gram_hashes(values: np.ndarray, size: int = LEAST_WORDS) -> np.ndarray:
 
 def compared(aligned: DataFrame, stretches: DataFrame) -> DataFrame:
     """Passages (row, first, n_words, other, other_first, similarity) that `row` shares with the first row of its
-    bucket; and, with `gram` set, every run of fifty words of the stretch that is in none of them."""
+    bucket; and, with `gram` set, every run of fifty words around a paragraph that is in none of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +231,11 @@ def compared(aligned: DataFrame, stretches: DataFrame) -> DataFrame:
                 left, right = (np.frombuffer(r[c], "<u4") for c in ("words", "other_words"))
                 rest = gram_hashes(left)
                 empty = np.concatenate([[0], np.cumsum(left == 0)])
-                open_ = empty[LEAST_WORDS:] == empty[:-LEAST_WORDS] if len(rest) else np.zeros(0, bool)
+                open_ = np.zeros(len(rest), bool)
+                for at in r["paragraphs"]:
+                    open_[max(0, at - r["low"] + PARAGRAPH - LEAST_WORDS) : at - r["low"] + 1] = True
+                if len(rest):
+                    open_ &= empty[LEAST_WORDS:] == empty[:-LEAST_WORDS]
                 for a, b, alike in repeated_passages(left, right):
                     first = r["low"] + a
                     out.append((r["row"], first, b - a, r["other"], first + r["shift"], alike, None))
@@ -261,7 +267,7 @@ def compared(aligned: DataFrame, stretches: DataFrame) -> DataFrame:
         .withColumn("other_high", F.col("high") + F.col("shift"))
         .join(stretches, ["row", "low", "high"])
         .join(theirs, ["other", "other_low", "other_high"])
-        .select("row", "other", "shift", "low", "words", "other_words")
+        .select("row", "other", "shift", "low", "paragraphs", "words", "other_words")
     )
     schema = "row long, first int, n_words int, other long, other_first int, similarity double, gram long"
     return joined.mapInArrow(run, schema)
@@ -305,7 +311,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     )
     stretches = durable(cut_stretches(docs, mine.unionByName(theirs).distinct()))
     both = durable(compared(aligned, stretches))
-    rest = shared_rest(both.where("gram is not null").select("row", "first", "gram").distinct())
+    rest = shared_rest(both.where("gram is not null").select("row", "first", "gram"))
     passages = durable(both.where("gram is null").drop("gram").unionByName(rest))
     here, there = F.struct("row", "first"), F.struct(F.col("other").alias("row"), F.col("other_first").alias("first"))
     links = passages.select(here.alias("a"), there.alias("b"))
