@@ -180,6 +180,13 @@ def t6_rank_candidates(spark, folder):
     return best.drop("position").withColumn("score", rounded("score"))
 
 
+def allowed_items(spark, folder):
+    """Vectors of the items of type ECONOMY."""
+    vectors = views.vectors(spark, folder)
+    parts = views.table(spark, folder, "part", "p_partkey", "p_type").where(F.col("p_type") == "ECONOMY")
+    return vectors.join(parts, vectors.item_id == parts.p_partkey, "left_semi")
+
+
 @query(
     "t7_vector_search",
     f"""SELECT label AS query_id, item_id, CAST(rank AS INTEGER) AS rank, round(1 - score, 6) AS distance FROM (
@@ -195,8 +202,7 @@ def t7_vector_search(spark, folder):
     """Ten nearest items of type ECONOMY to the mean vector of every label."""
     vectors = views.vectors(spark, folder)
     centres = mean_vectors(vectors.select("label", "item_id"), "label", vectors.drop("label"), DIMENSION)
-    parts = views.table(spark, folder, "part", "p_partkey", "p_type").where(F.col("p_type") == "ECONOMY")
-    allowed = vectors.join(parts, vectors.item_id == parts.p_partkey, "left_semi")
+    allowed = allowed_items(spark, folder)
     found = similarity.best_pairs(
         similarity.as_vectors(centres, "label", unit(F.col("vector"))),
         similarity.as_vectors(allowed, "item_id", unit(F.col("vector"))),

@@ -130,3 +130,30 @@ def test_feature_job_writes_only_clean_tables(spark, tmp_path):
     assert not (tmp_path / "bad").exists()
     with pytest.raises(ValueError, match="not in train"):
         feature_job.run_feature_job(df.where("source = 'val' OR user_id > 0"), str(tmp_path / "bad"))
+
+
+def test_means_are_of_the_rows_with_a_value(spark, split_everything):
+    """Null, NaN and infinite values count as rows, not as values; with and without pieces."""
+    from ratingloom.operators.trailing import trailing_stats
+
+    values = [4.0, None, float("nan"), 2.0, float("inf"), 5.0]
+    rows = [(1, 1000 * (i + 1), v) for i, v in enumerate(values)] + [(2, 1000, None), (2, 2000, 3.0)]
+    frame = spark.createDataFrame(rows, "k long, at long, v double")
+    names = {7: ("n", "mean")}
+    for cuts in (None, find_cuts(frame, "k", "at")):
+        got = {(r.k, r.at): (r.n, r["mean"]) for r in trailing_stats(frame, "k", "at", "v", [7], names, cuts).collect()}
+        assert got[(1, 1000)] == (0, None) and got[(1, 2000)] == (1, 4.0) and got[(1, 4000)] == (3, 4.0)
+        assert got[(1, 6000)] == (5, 3.0) and got[(2, 2000)] == (1, None)
+
+
+def test_pieces_keep_their_size_when_the_table_grows(spark):
+    from ratingloom.operators.skew import PIECE
+
+    largest = {}
+    for rows in (2_000, 20_000):
+        frame = spark.range(rows).selectExpr("id % 2 AS k", "id AS at")
+        cuts = find_cuts(frame, "k", "at", min_rows=200)
+        pieces = cuts.heavy(frame).groupBy("k", PIECE).count().collect()
+        assert sum(p["count"] for p in pieces) == rows
+        largest[rows] = max(p["count"] for p in pieces)
+    assert largest[20_000] <= 1.5 * largest[2_000] <= 1.5 * 1.5 * 200
