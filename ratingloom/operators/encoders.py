@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions.text import parse_price
+from ratingloom.session import durable
 
 MAX_VOCABULARY = 20_000  # a category vocabulary above this is a mistake in the data, not a vocabulary
 
@@ -162,47 +163,38 @@ class ItemEncoder:
         return F.zip_with(centred, widths, lambda v, d: v / d)
 
 
-def _with_terms(documents: DataFrame, text: str, *keep: str) -> DataFrame:
-    """Add `t`: all lower-cased words of two or more letters, and all pairs of adjacent words, of a text.
+def term_counts(documents: DataFrame, identity: str, text: str, min_docs: int = TEXT_MIN_DOCS) -> DataFrame:
+    """(identity, term, n): words of two or more letters and pairs of adjacent words, with their numbers, for terms
+    that can be in `min_docs` documents.
 
-    Take it apart with explode_outer: for explode, Spark adds a size filter that works the words out once
-    more for each mention, below any spreading of the input.
+    The text is taken apart once, into (document, position, word) rows. A pair is in enough documents only if both
+    its words are, so other words are dropped before pairs are made; places stay, so only neighbours meet.
     """
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TOKEN), F.lit(0))
-    pairs = F.greatest(F.size("__w") - 1, F.lit(0))
-    bigrams = F.zip_with(
-        F.slice("__w", 1, pairs), F.slice("__w", 2, pairs), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
-    return documents.select(*keep, words.alias("__w")).select(*keep, F.concat("__w", bigrams).alias("t"))
+    tokens = durable(documents.select(identity, words.alias("__w")).select(identity, F.posexplode_outer("__w").alias("pos", "term")).where("term IS NOT NULL"))
+    single = durable(tokens.groupBy(identity, "term").agg(F.count(F.lit(1)).alias("n")))
+    common = single.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs).select("term")
+    common = durable(common)
+    left = tokens.join(common, "term", "left_semi")
+    order = Window.partitionBy(identity).orderBy("pos")
+    follows = F.lead("pos").over(order) == F.col("pos") + 1
+    pairs = left.select(identity, F.when(follows, F.concat_ws(" ", "term", F.lead("term").over(order))).alias("term"))
+    double = pairs.where("term IS NOT NULL").groupBy(identity, "term").agg(F.count(F.lit(1)).alias("n"))
+    return durable(single.join(common, "term", "left_semi").select(identity, "term", "n").unionByName(double))
 
 
 def term_vocabulary(
-    documents: DataFrame, text: str, min_docs: int = TEXT_MIN_DOCS, max_terms: int = TEXT_MAX_TERMS
+    counts: DataFrame, n_docs: Column, min_docs: int = TEXT_MIN_DOCS, max_terms: int = TEXT_MAX_TERMS
 ) -> DataFrame:
-    """(term, df, idf): terms in enough documents, the most frequent ones only; ties in alphabetical order.
-
-    Occurrences and documents are counted by term alone: a document hands every occurrence on,
-    and each different term once more, so both counts combine before the shuffle.
-    """
-    found = _with_terms(documents, text)
-    once = found.select(F.explode_outer(F.array_distinct("t")).alias("term"), F.lit(0).alias("total"), F.lit(1).alias("df"))
-    every = found.select(F.explode_outer("t").alias("term"), F.lit(1).alias("total"), F.lit(0).alias("df"))
-    counts = every.unionByName(once).where("term IS NOT NULL").groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
-    kept = counts.where(F.col("df") >= min_docs).orderBy(F.desc("total"), "term").limit(max_terms)
-    n_docs = documents.agg(F.count(F.lit(1))).scalar()
+    """(term, df, idf): terms in enough documents, the most frequent ones only; ties in alphabetical order."""
+    found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
+    kept = found.where(F.col("df") >= min_docs).orderBy(F.desc("total"), "term").limit(max_terms)
     return kept.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf(documents: DataFrame, vocabulary: DataFrame, identity: str, text: str) -> DataFrame:
-    """(identity, term, weight): count x idf at length one per document.
-
-    Only vocabulary terms survive the join, which is a broadcast of at most max_terms rows, and only they
-    are counted and shuffled.
-    """
-    known = _with_terms(documents, text, identity).select(identity, F.explode_outer("t").alias("term")).join(
-        F.broadcast(vocabulary.select("term", "idf")), "term"
-    )
-    counted = known.groupBy(identity, "term").agg((F.count(F.lit(1)) * F.max("idf")).alias("__w"))
+def tfidf(counts: DataFrame, vocabulary: DataFrame, identity: str) -> DataFrame:
+    """(identity, term, weight): count x idf at length one per document. The vocabulary has at most max_terms rows."""
+    known = counts.join(F.broadcast(vocabulary.select("term", "idf")), "term").withColumn("__w", F.col("n") * F.col("idf"))
     whole = Window.partitionBy(identity)  # at most max_terms rows per document
     length = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(whole))
-    return counted.select(identity, "term", (F.col("__w") / length).alias("weight"))
+    return known.select(identity, "term", (F.col("__w") / length).alias("weight"))

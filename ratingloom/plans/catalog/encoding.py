@@ -14,6 +14,7 @@ from ratingloom.operators.encoders import (
     OneHot,
     ScaledPrice,
     Standardised,
+    term_counts,
     term_vocabulary,
     tfidf,
 )
@@ -220,8 +221,9 @@ TERMS: dict[str, str] = {
 )
 def m9_text_tfidf(spark, folder):
     documents = spread(views.table(spark, folder, "documents", "doc_id", "text"))
-    vocabulary = term_vocabulary(documents, "text")
-    return tfidf(documents, vocabulary, "doc_id", "text").withColumn("weight", rounded("weight"))
+    counts = term_counts(documents, "doc_id", "text")
+    vocabulary = durable(term_vocabulary(counts, documents.agg(F.count(F.lit(1))).scalar()))
+    return tfidf(counts, vocabulary, "doc_id").withColumn("weight", rounded("weight"))
 
 
 def training_pairs(spark, folder):

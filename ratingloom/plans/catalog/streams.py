@@ -18,8 +18,8 @@ def record_stream(spark, folder, slices: int = 4):
     """The events as a stream of change records, in time order, one file per micro-batch."""
     path = scratch(spark, "records")
     records = change_records(spark, folder)
-    replay.write_replay(records, path, slices=slices)
-    return replay.replay(spark, path, records.schema)
+    files = replay.write_replay(records, path, slices=slices)
+    return replay.replay(spark, path, records.schema, files)
 
 
 @query(
@@ -32,9 +32,9 @@ def replay_holdout(spark, folder):
     rows = views.interactions(spark, folder)
     held = rows.where(F.col("ts_ms") >= holdout_cutoff(views.item_ratings(spark, folder))).drop("event_ts")
     source, target = scratch(spark, "holdout"), scratch(spark, "arrived")
-    replay.write_replay(held, source)
+    files = replay.write_replay(held, source)
     query_ = (
-        replay.replay(spark, source, held.schema)
+        replay.replay(spark, source, held.schema, files)
         .writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", scratch(spark, "checkpoint"))
@@ -84,11 +84,11 @@ def r3_drift_stream(spark, folder):
     """Ratings in time order against all ratings: a report each time enough rows have come in."""
     rows = loose_rows(spark, folder)
     source, reports = scratch(spark, "ratings"), scratch(spark, "reports")
-    replay.write_replay(rows, source, slices=3)
+    files = replay.write_replay(rows, source, slices=3)
     reference = spark.read.schema(rows.schema).parquet(source)
     enough = reference.count() // 2
     drift.start_drift_watch(
-        replay.replay(spark, source, rows.schema), reference, scratch(spark, "staging"), reports,
+        replay.replay(spark, source, rows.schema, files), reference, scratch(spark, "staging"), reports,
         scratch(spark, "checkpoint"), enough,
     ).awaitTermination()
     return spark.read.option("basePath", reports).parquet(f"{reports}/closed=*").withColumnRenamed("closed", "batch")
@@ -98,11 +98,11 @@ def r3_drift_stream(spark, folder):
 def r4_latest_upsert(spark, folder):
     rows = views.stream(spark, folder).select("user_id", "item_id", "event_id", "ts_ms")
     source, target = scratch(spark, "rows"), scratch(spark, "latest")
-    replay.write_replay(rows, source)
+    files = replay.write_replay(rows, source)
     keys, order = ["user_id"], ["ts_ms", "event_id"]
     query_ = (
-        replay.replay(spark, source, rows.schema, files_per_trigger=2)
-        .writeStream.foreachBatch(lambda batch, number: upsert_latest(batch, number, target, keys, order))
+        replay.replay(spark, source, rows.schema, files_per_trigger=2 * files)
+        .writeStream.foreachBatch(lambda batch, number: upsert_latest(batch, number, target, keys, order, compact_every=2))
         .option("checkpointLocation", scratch(spark, "checkpoint"))
         .trigger(availableNow=True)
         .start()

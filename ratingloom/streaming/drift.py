@@ -39,9 +39,10 @@ def start_drift_watch(
         current = spark.read.schema(fixed.schema).option("recursiveFileLookup", "true").parquet(
             f"{staging}/generation={begin}"
         )
-        if current.limit(min_rows).count() < min_rows:
+        rows = current.count()  # from the footers of the staged files
+        if rows < min_rows:
             return
-        report = column_drift(fixed, current).withColumn("n_rows", F.lit(current.count()))
+        report = column_drift(fixed, current).withColumn("n_rows", F.lit(rows))
         report.write.mode("overwrite").parquet(f"{reports}/closed={batch_id}")
         progress["generation"] = batch_id + 1
 

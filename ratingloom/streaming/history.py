@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ratingloom.functions.times import HISTORY_LENGTH, bucket_sequence, iso_seconds, padded_seconds_from_text
+from ratingloom.functions.times import HISTORY_LENGTH, bucket_sequence, iso_seconds, keep_last, padded_seconds_from_text
 from ratingloom.operators.ordered import top_per_key
 from ratingloom.sources.changes import decode_changes
 from ratingloom.sources.snapshot import read_snapshot, upsert_latest
@@ -18,10 +14,8 @@ from ratingloom.sources.snapshot import read_snapshot, upsert_latest
 # Fixed value: liked items count as this much later than the newest one in the history.
 LIKE_DELAY_MS = 2 * 86_400_000
 
-UPDATE_SCHEMA = "user_id string, recent_items string, recent_times string, last_event_ms long, n_events long"
-STATE_SCHEMA = "items array<string>, times array<string>, last_ms long, n long"
 SNAPSHOT_KEYS = ["user_id"]
-SNAPSHOT_ORDER = ["last_event_ms", "n_events"]
+COMPACT_EVERY = 16  # micro-batches
 
 
 def change_events(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -36,46 +30,45 @@ def change_events(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def _millis(text):
-    fraction = F.coalesce(F.regexp_extract(text, r"\.(\d{3})\d*Z$", 1).try_cast("int"), F.lit(0))
+    digits = F.rpad(F.regexp_extract(text, r"\.(\d{1,3})\d*Z$", 1), 3, "0")
+    fraction = F.coalesce(digits.try_cast("int"), F.lit(0))
     return iso_seconds(text) * 1000 + fraction
 
 
-def _keep_newest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Only the newest entries of a user in a batch can end up in the history; `n` still counts them all."""
-    for batch in batches:
-        counted = batch.groupby("user_id")["item_id"].transform("size")
-        newest = batch.assign(seen=counted).sort_values(["ms", "item_id"], kind="stable")
-        kept = newest.groupby("user_id").tail(HISTORY_LENGTH)
-        first = ~kept.duplicated("user_id")
-        yield kept.assign(seen=kept["seen"].where(first, 0))[["user_id", "item_id", "time", "ms", "seen"]]
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Append a micro-batch of events, ordered by (time, item), to the user's last ten."""
-    items, times, last_ms, n = state.get if state.exists else ([], [], -1, 0)
-    new: list[tuple[int, str, str]] = []
-    for batch in batches:
-        n += int(batch["seen"].sum())
-        new += list(zip(batch["ms"], batch["item_id"], batch["time"]))
-        new = sorted(new, key=lambda e: (e[0], e[1]))[-HISTORY_LENGTH:]
-    items = (list(items) + [e[1] for e in new])[-HISTORY_LENGTH:]
-    times = (list(times) + [e[2] for e in new])[-HISTORY_LENGTH:]
-    last_ms = int(new[-1][0]) if new else last_ms
-    state.update((items, times, last_ms, n))
-    yield pd.DataFrame({
-        "user_id": [key[0]], "recent_items": [",".join(items)], "recent_times": [",".join(times)],
-        "last_event_ms": [last_ms], "n_events": [n],
-    })
-
-
-def history_updates(events: DataFrame) -> DataFrame:
-    """Stream of events -> one row per touched user and micro-batch with the user's current last ten.
-
-    A hot user's events are cut to the newest ten in every Arrow batch before the shuffle.
+def newest_events(batch: DataFrame) -> DataFrame:
+    """(user_id, new, seen): the newest ten events of each user in a micro-batch, oldest first, and how many there were.
+
+    The row number is limited before the shuffle, so a hot user sends ten rows per task.
     """
-    newest = events.mapInPandas(_keep_newest, "user_id string, item_id string, time string, ms long, seen long")
-    return newest.groupBy("user_id").applyInPandasWithState(
-        _advance, UPDATE_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+    order = [F.desc("ms"), F.desc("item_id"), F.desc("time")]
+    newest = top_per_key(batch, ["user_id"], order, HISTORY_LENGTH).groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("ms", "item_id", "time"))).alias("new")
+    )
+    seen = batch.groupBy("user_id").agg(F.count(F.lit(1)).alias("seen"))
+    return newest.join(seen, "user_id")
+
+
+def advance(events: DataFrame, known: DataFrame | None) -> DataFrame:
+    """One row per touched user: the last ten of what is known and what is new, in that order."""
+
+    def parts(column: str):
+        text = F.coalesce(F.col(column), F.lit(""))
+        return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
+
+    new = newest_events(events)
+    columns = ("recent_items", "recent_times", "n_events")
+    if known is None:
+        rows = new.select("*", *[F.lit(None).cast("long" if c == "n_events" else "string").alias(c) for c in columns])
+    else:
+        rows = new.join(known.select("user_id", *columns), "user_id", "left")
+    items = keep_last(F.concat(parts("recent_items"), F.col("new.item_id")), HISTORY_LENGTH)
+    times = keep_last(F.concat(parts("recent_times"), F.col("new.time")), HISTORY_LENGTH)
+    return rows.select(
+        "user_id",
+        F.array_join(items, ",").alias("recent_items"),
+        F.array_join(times, ",").alias("recent_times"),
+        F.element_at("new.ms", -1).alias("last_event_ms"),
+        (F.coalesce("n_events", F.lit(0)) + F.col("seen")).alias("n_events"),
     )
 
 
@@ -89,15 +82,19 @@ def with_sequences(updates: DataFrame) -> DataFrame:
 
 
 def start_history(changes: DataFrame, snapshot: str, checkpoint: str, payload: str = "payload") -> StreamingQuery:
-    """Run over all changes available now; every micro-batch updates the snapshot folder."""
+    """Run over all changes available now; every micro-batch updates the snapshot folder.
+
+    A batch reads what batches before it have left, so one that is run again gives the same rows.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_latest(with_sequences(batch), batch_id, snapshot, SNAPSHOT_KEYS, SNAPSHOT_ORDER)
+        known = read_snapshot(batch.sparkSession, snapshot, SNAPSHOT_KEYS, ["n_events"], before=batch_id)
+        rows = with_sequences(advance(batch, known))
+        upsert_latest(rows, batch_id, snapshot, SNAPSHOT_KEYS, ["n_events"], compact_every=COMPACT_EVERY)
 
     return (
-        history_updates(change_events(changes, payload))
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        change_events(changes, payload)
+        .writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()

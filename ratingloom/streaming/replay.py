@@ -9,23 +9,28 @@ from pyspark.sql import types as T
 from ratingloom.session import durable
 
 
-def write_replay(df: DataFrame, path: str, order: str = "ts_ms", slices: int = 4, files_per_slice: int = 1) -> None:
+ROWS_PER_FILE = 1_000_000
+
+
+def write_replay(df: DataFrame, path: str, order: str = "ts_ms", slices: int = 4, rows_per_file: int = ROWS_PER_FILE) -> int:
     """Cut the rows into slices of time and write them in order, so that later rows land in younger files.
 
-    A file stream takes files by age; reading `files_per_slice` files per trigger replays slice after slice.
-    Large replays need more files per slice, so that no file and no task grows with the data.
+    A file stream takes files by age. Returns how many files a slice has: reading as many per trigger replays slice
+    after slice. Files hold about `rows_per_file` rows, so no file and no task grows with the data.
     """
     rows = durable(df)
     shares = [i / slices for i in range(1, slices)]
-    cuts = rows.agg(F.percentile_approx(order, shares)).first()[0] if shares else []
-    edges = [None, *(cuts or []), None]
+    count, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(order, shares or [0.5])).first()
+    edges = [None, *((cuts or []) if shares else []), None]
+    files = max(1, -(-count // (slices * rows_per_file)))
     for low, high in zip(edges, edges[1:]):
         part = rows
         if low is not None:
             part = part.where(F.col(order) >= low)
         if high is not None:
             part = part.where(F.col(order) < high)
-        part.repartitionByRange(files_per_slice, order).sortWithinPartitions(order).write.mode("append").parquet(path)
+        part.repartitionByRange(files, order).sortWithinPartitions(order).write.mode("append").parquet(path)
+    return files
 
 
 def replay(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:

@@ -121,3 +121,16 @@ def test_durable_needs_a_shared_folder(spark):
 
     assert durable(spark.range(5)).count() == 5
     assert shared_folder(spark)
+
+
+def test_snapshot_reads_begin_at_the_newest_full_folder(spark, tmp_path):
+    path, keys, order = str(tmp_path / "s"), ["k"], ["t"]
+    for number in range(7):
+        batch = spark.createDataFrame([(number % 3, number, f"v{number}")], "k long, t long, v string")
+        upsert_latest(batch, number, path, keys, order, compact_every=3)
+        upsert_latest(batch, number, path, keys, order, compact_every=3)  # a batch that runs again changes nothing
+    rows = read_snapshot(spark, path, keys, order)
+    assert {r.k: r.v for r in rows.collect()} == {0: "v6", 1: "v4", 2: "v5"}
+    assert len({f.split("/")[-2] for f in rows.inputFiles()}) == 2  # the full folder of batch 5, and batch 6
+    assert {r.k: r.v for r in read_snapshot(spark, path, keys, order, before=2).collect()} == {0: "v0", 1: "v1"}
+    assert read_snapshot(spark, str(tmp_path / "none"), keys, order) is None
