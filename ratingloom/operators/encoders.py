@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions.text import parse_price
+from ratingloom.operators.running import running_totals
 from ratingloom.session import durable
 
-MAX_VOCABULARY = 20_000  # a category vocabulary above this is a mistake in the data, not a vocabulary
+MAX_VOCABULARY = 20_000  # of the dense forms, which hold one number per category and row; the sparse ones have no limit
 
 # Text weighting of titles and descriptions.
 TEXT_MIN_DOCS = 5
@@ -163,6 +164,54 @@ class ItemEncoder:
         return F.zip_with(centred, widths, lambda v, d: v / d)
 
 
+def level_table(values: DataFrame) -> DataFrame:
+    """(level, pos): the distinct values of a one-column frame in order, a null last. Stays a table, of any size."""
+    levels = values.select(F.col(values.columns[0]).alias("level")).distinct()
+    order = [F.col("level").isNull(), F.col("level")]
+    return durable(running_totals(levels, order, {"levels": F.lit(1).cast("long")}).select("level", F.col("before_levels").alias("pos")))
+
+
+def one_hot_entries(df: DataFrame, levels: DataFrame, identity: str, column: str) -> DataFrame:
+    """(identity, pos, value 1): where the one of each row stands; an unseen category has no entry."""
+    same = F.col("__value").eqNullSafe(F.col("level"))
+    rows = df.select(identity, F.col(column).alias("__value")).join(levels, same)
+    return rows.select(identity, "pos", F.lit(1.0).alias("value"))
+
+
+def category_entries(df: DataFrame, levels: DataFrame, identity: str, column: str) -> DataFrame:
+    """(identity, pos, value): how often each lower-cased category occurs, for those that do."""
+    tokens = df.select(identity, F.explode(CategoryCounts.tokens(column)).alias("level"))
+    counted = tokens.groupBy(identity, "level").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return counted.join(levels, "level").select(identity, "pos", "value")
+
+
+def item_entries(df: DataFrame, fit: DataFrame, identity: str, stat_columns: Sequence[str]) -> DataFrame:
+    """(identity, pos, value): one-hot category, category counts, price and statistics side by side, every position
+    standardised over the fit rows; categories a row does not have are left out.
+
+    An absent entry stands for -mean / deviation of its position, the same for all rows, so the sparse form has all
+    there is to know. Vocabularies are tables, looked up by joins, and the moments one aggregate.
+    """
+    kinds, names = level_table(fit.select("main_category")), level_table(fit.select(F.explode(CategoryCounts.tokens("categories"))))
+    first, second = (t.agg(F.count(F.lit(1))).first()[0] for t in (kinds, names))
+    price, stats = ScaledPrice.fit(fit, "price"), Standardised.fit(fit, stat_columns)
+    dense = F.array(*[
+        F.struct(F.lit(first + second + i).cast("long").alias("pos"), v.alias("value"))
+        for i, v in enumerate([price(), *stats.each()])
+    ])
+    entries = durable(
+        one_hot_entries(df, kinds, identity, "main_category")
+        .unionByName(category_entries(df, names, identity, "categories").withColumn("pos", F.col("pos") + first))
+        .unionByName(df.select(identity, F.inline(dense)))
+    )
+    rows = fit.agg(F.count(F.lit(1))).first()[0]
+    known = entries.join(fit.select(identity), identity, "left_semi")
+    mean, square = F.sum("value") / rows, F.sum(F.col("value") * F.col("value")) / rows
+    width = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+    moments = known.groupBy("pos").agg(mean.alias("__mean"), F.when(width > 1e-9, width).otherwise(1.0).alias("__width"))
+    return entries.join(moments, "pos").select(identity, "pos", ((F.col("value") - F.col("__mean")) / F.col("__width")).alias("value"))
+
+
 def term_counts(documents: DataFrame, identity: str, text: str, min_docs: int = TEXT_MIN_DOCS) -> DataFrame:
     """(identity, term, n): words of two or more letters and pairs of adjacent words, with their numbers, for terms
     that can be in `min_docs` documents.

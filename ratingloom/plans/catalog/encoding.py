@@ -10,10 +10,12 @@ from ratingloom.operators import models
 from ratingloom.operators.dictionary import build_dictionary, map_ids, sequence_to_index
 from ratingloom.operators.encoders import (
     CategoryCounts,
-    ItemEncoder,
-    OneHot,
     ScaledPrice,
     Standardised,
+    category_entries,
+    item_entries,
+    level_table,
+    one_hot_entries,
     term_counts,
     term_vocabulary,
     tfidf,
@@ -127,26 +129,28 @@ def encoder_frame(spark, folder):
 
 @query(
     "m4_one_hot",
-    """SELECT item_id, main_category, array_to_string(list_transform((SELECT list(c ORDER BY c) FROM (SELECT DISTINCT main_category AS c
-       FROM fit)), lambda c: CASE WHEN c = main_category THEN 1 ELSE 0 END), ',') AS one_hot FROM frame""",
+    """SELECT item_id, rank - 1 AS pos, 1.0::DOUBLE AS value FROM frame JOIN (SELECT c, row_number() OVER (ORDER BY c) AS rank
+       FROM (SELECT DISTINCT main_category AS c FROM fit)) ON c = main_category""",
     FRAME,
 )
 def m4_one_hot(spark, folder):
+    """The place of the one in every item's one-hot category."""
     frame, fit = encoder_frame(spark, folder)
-    flags = OneHot.fit(fit, "main_category")()
-    return frame.select("item_id", "main_category", joined(flags.cast("array<int>")).alias("one_hot"))
+    return one_hot_entries(frame, level_table(fit.select("main_category")), "item_id", "main_category")
 
 
 @query(
     "m5_category_counts",
-    """SELECT item_id, array_to_string(list_transform((SELECT list(c ORDER BY c) FROM (SELECT DISTINCT lower(unnest(categories)) AS c
-       FROM fit)), lambda c: len(list_filter(categories, lambda t: lower(t) = c))), ',') AS counts FROM frame""",
+    """SELECT item_id, rank - 1 AS pos, count(*)::DOUBLE AS value FROM (SELECT item_id, lower(unnest(categories)) AS c FROM frame)
+       JOIN (SELECT c, row_number() OVER (ORDER BY c) AS rank FROM (SELECT DISTINCT lower(unnest(categories)) AS c FROM fit))
+       USING (c) GROUP BY ALL""",
     FRAME,
 )
 def m5_category_counts(spark, folder):
+    """How often each category occurs in an item's list, as sparse entries."""
     frame, fit = encoder_frame(spark, folder)
-    counts = CategoryCounts.fit(fit, "categories")()
-    return frame.select("item_id", joined(counts.cast("array<int>")).alias("counts"))
+    levels = level_table(fit.select(F.explode(CategoryCounts.tokens("categories"))))
+    return category_entries(frame, levels, "item_id", "categories")
 
 
 @query(
@@ -183,9 +187,8 @@ _STAT_PARTS = " UNION ALL ".join(
 
 @query(
     "m8_item_vector",
-    """SELECT item_id, CAST(dense_rank() OVER (ORDER BY part) - 1 AS INTEGER) AS pos, round((v - m) / CASE WHEN d < 1e-12 THEN 1 ELSE d END, 5)
-       + 0.0 AS value FROM long_form JOIN (SELECT part, avg(v) AS m, stddev_pop(v) AS d FROM long_form
-       SEMI JOIN fit USING (item_id) GROUP BY part) USING (part)""",
+    """SELECT item_id, pos, round((v - m) / CASE WHEN d < 1e-9 THEN 1 ELSE d END, 5) + 0.0 AS value FROM long_form
+       JOIN parts USING (part) WHERE v <> 0 OR part >= 500000""",
     {
         **FRAME,
         "long_form": f"""SELECT item_id, rank AS part, CASE WHEN c = main_category THEN 1.0 ELSE 0.0 END AS v FROM frame,
@@ -193,13 +196,15 @@ _STAT_PARTS = " UNION ALL ".join(
             UNION ALL SELECT item_id, 1000 + rank, len(list_filter(categories, lambda t: lower(t) = c)) FROM frame,
             (SELECT c, row_number() OVER (ORDER BY c) AS rank FROM (SELECT DISTINCT lower(unnest(categories)) AS c FROM fit))
             UNION ALL SELECT item_id, 500000, amount FROM frame UNION ALL {_STAT_PARTS}""",
+        "parts": """SELECT part, dense_rank() OVER (ORDER BY part) - 1 AS pos, avg(v) AS m, stddev_pop(v) AS d FROM long_form
+            SEMI JOIN fit USING (item_id) GROUP BY part""",
     },
 )
 def m8_item_vector(spark, folder):
-    """All encoders side by side, standardised; one row per item and position."""
+    """All encoders side by side, standardised, as sparse entries."""
     frame, fit = encoder_frame(spark, folder)
-    encoder = ItemEncoder.fit(fit, feature_job.ITEM_STAT_COLUMNS)
-    return frame.select("item_id", F.posexplode(encoder()).alias("pos", "value")).withColumn("value", rounded("value", 5))
+    entries = item_entries(frame, fit, "item_id", feature_job.ITEM_STAT_COLUMNS)
+    return entries.withColumn("value", rounded("value", 5))
 
 
 TERMS: dict[str, str] = {
