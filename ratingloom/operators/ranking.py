@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions.vectors import norm, sigmoid
@@ -19,7 +19,10 @@ SIMILAR_KEPT = 10
 MAX_CANDIDATES = 100
 RECOMMENDED = 10
 RECENT_SHOWN = 5
+
+# What is shown for an absent part of an item, and for an unknown item.
 NO_IMAGE = "https://via.placeholder.com/300x300?text=No+Image"
+NO_TITLE, UNKNOWN, NO_DETAIL = "No title", "Unknown", "?"
 
 
 def popular_items(scores: DataFrame, k: int = POPULAR_KEPT) -> DataFrame:
@@ -70,9 +73,16 @@ def recommendation_lists(ranked: DataFrame) -> DataFrame:
     )
 
 
-def item_details(metadata: DataFrame) -> DataFrame:
-    """Shown title, image and categories of an item, with the fallbacks for absent parts."""
+def item_details(metadata: DataFrame, no_image: str = NO_IMAGE) -> DataFrame:
+    """Shown title, image, categories, rating, reviews, price and store of an item, with the fallbacks for absent parts.
+
+    Rating and reviews come from average_rating and rating_number; a column that the metadata lacks is absent for all.
+    """
     present = set(metadata.columns)
+
+    def part(name: str, kind: str, otherwise) -> Column:
+        return F.coalesce(F.col(name).cast(kind), F.lit(otherwise)) if name in present else F.lit(otherwise)
+
     image = F.lit(None).cast("string")
     if "images" in present:
         image = F.coalesce(F.get("images.large", F.lit(0)), F.get("images.hi_res", F.lit(0)))
@@ -80,9 +90,13 @@ def item_details(metadata: DataFrame) -> DataFrame:
     named = F.filter("categories", lambda c: c.isNotNull() & (c != ""))
     return metadata.select(
         "item_id",
-        F.coalesce("title", F.lit("No title")).alias("title"),
-        F.coalesce(image, F.lit(NO_IMAGE)).alias("image_url"),
+        F.coalesce("title", F.lit(NO_TITLE)).alias("title"),
+        F.coalesce(image, F.lit(no_image)).alias("image_url"),
         F.when(F.size("categories") > 0, named).otherwise(F.array(main)).alias("categories"),
+        part("average_rating", "double", 0.0).alias("rating"),
+        part("rating_number", "long", 0).cast("long").alias("reviews"),
+        part("price", "string", NO_DETAIL).alias("price"),
+        part("store", "string", NO_DETAIL).alias("store"),
     )
 
 
@@ -103,9 +117,13 @@ def recent_purchases(history: DataFrame, metadata: DataFrame, shown: int = RECEN
         "user_id", (F.col("pos") + 1).alias("rank"), "h.item_id", "h.event_ts"
     )
     return rows.join(item_details(metadata), "item_id", "left").withColumns({
-        "title": F.coalesce("title", F.lit("Unknown")),
+        "title": F.coalesce("title", F.lit(UNKNOWN)),
         "image_url": F.coalesce("image_url", F.lit(NO_IMAGE)),
-        "categories": F.coalesce("categories", F.array(F.lit("Unknown"))),
+        "categories": F.coalesce("categories", F.array(F.lit(UNKNOWN))),
+        "rating": F.coalesce("rating", F.lit(0.0)),
+        "reviews": F.coalesce("reviews", F.lit(0).cast("long")),
+        "price": F.coalesce("price", F.lit(NO_DETAIL)),
+        "store": F.coalesce("store", F.lit(NO_DETAIL)),
     })
 
 

@@ -81,17 +81,22 @@ def t3_similar_by_dot(spark, folder):
 @query(
     "t4_recent_purchases",
     """SELECT r.user_id, r.item_id, r.ts_ms, CAST(r.rank AS INTEGER) AS rank, i.title,
-       'https://via.placeholder.com/300x300?text=No+Image' AS image_url, array_to_string(i.categories, '|') AS categories
+       'https://via.placeholder.com/300x300?text=No+Image' AS image_url, array_to_string(i.categories, '|') AS categories,
+       round(p.rating_avg, 6) AS rating, p.rating_count AS reviews, i.price, '?' AS store
        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_ts DESC, item_id) AS rank FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_ts DESC, item_id DESC) AS back
-         FROM interactions) WHERE back <= 10) r JOIN items i USING (item_id) WHERE r.rank <= 5""",
+         FROM interactions) WHERE back <= 10) r JOIN items i USING (item_id) JOIN popularity p USING (item_id) WHERE r.rank <= 5""",
+    {"popularity": POPULARITY_SQL},
 )
 def t4_recent_purchases(spark, folder):
     history = feature_job.current_history(views.interactions(spark, folder))
-    shown = ranking.recent_purchases(history, views.items(spark, folder))
+    rated = stats.popularity(views.item_ratings(spark, folder)).select(
+        "item_id", F.col("rating_avg").alias("average_rating"), F.col("rating_count").alias("rating_number")
+    )
+    shown = ranking.recent_purchases(history, views.items(spark, folder).join(rated, "item_id", "left"))
     return shown.select(
         "user_id", "item_id", (F.unix_seconds("event_ts") * 1000).alias("ts_ms"), "rank", "title", "image_url",
-        joined("categories", "|").alias("categories"),
+        joined("categories", "|").alias("categories"), rounded("rating").alias("rating"), "reviews", "price", "store",
     )
 
 
