@@ -34,9 +34,9 @@ BOILER_WORDS = frozenset(
     "promotion comment comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices "
     "notification alert popup modal overlay lightbox newsletter subscribe subscription signup login share sharing "
     "social related recommended recommendations pager pagination breadcrumb breadcrumbs copyright disclaimer "
-    "skip hidden paywall feedback rating ratings poll tooltip".split()
+    "skip hidden paywall feedback rating ratings poll tooltip footer foot".split()
 )
-LAYOUT_WORDS = frozenset("nav navbar navigation menu sidebar side rail aside widget widgets footer foot header masthead topbar toolbar search".split())
+LAYOUT_WORDS = frozenset("nav navbar navigation menu sidebar side rail aside widget widgets header masthead topbar toolbar search".split())
 CONTENT_WORDS = frozenset("content article post entry story main body text".split())
 
 

@@ -30,6 +30,10 @@ PAGES = {
     "notice": page(f"<div class='cookie-notice'>We use cookies, many of them, for your own good.</div><article>{ARTICLE}</article>"),
     "unclosed": f"<body><nav><ul><li>x<li>y</ul></nav><article>{ARTICLE.replace('</p>', '')}",
     "header": page(f"<header><h2>Site</h2></header><article><header>{TITLE}<p>by someone</p></header>{ARTICLE.removeprefix(TITLE)}</article>"),
+    "footer": page(
+        f"<div class='content with-sidebar'><div class='entry'>{ARTICLE}<div class='entry-footer'>Filed under: things</div></div></div>"
+        "<div id='pageFooter'><p>All about us and how to reach us, in many words that nobody reads to the end.</p></div>"
+    ),
     "upper": page(f"<ARTICLE>{ARTICLE}</ARTICLE><FOOTER>end</FOOTER>"),
     "comment": page(f"<article><!-- <p>not this</p> -->{ARTICLE}<!-- open </article>"),
 }
