@@ -32,7 +32,7 @@ from ratingloom.session import durable
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 3  # a pair of similarity 0.8 meets in some band with probability 0.9992
+BANDS, ROWS = 10, 3  # of each measure; a pair that either puts at 0.8 meets in some band with probability 0.9992
 BUCKETS = 1 << 16  # of document frequencies
 POOL = 1 << 16  # random triples per sample, chosen by shingle hash
 DEPTHS = (1, 2, 3)  # bands that a bucket is made of, one pass after the other
@@ -94,6 +94,18 @@ def sample_bands(hashes: np.ndarray, weights: np.ndarray, bounds: np.ndarray) ->
     return keys
 
 
+def plain_bands(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Band keys of the sets without their weights, one row per text; rows of texts without shingles mean nothing."""
+    spread = _pool()[4]
+    full = np.flatnonzero(np.diff(bounds))
+    begin = bounds[:-1][full]
+    keys = np.zeros((len(bounds) - 1, BANDS), np.uint64)
+    for k in range(BANDS * ROWS if len(full) else 0):
+        least = mix(np.minimum.reduceat(hashes * spread[k], begin))
+        keys[full, k // ROWS] = mix(keys[full, k // ROWS] * np.uint64(31) + least + np.uint64(k // ROWS))
+    return keys
+
+
 def document_frequencies(texts: DataFrame) -> np.ndarray:
     """Weight per bucket, ln(1 + texts / texts with a shingle of the bucket), from all rows of `texts` (text).
 
@@ -125,14 +137,16 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, weights: Broadcast) -> DataFrame:
-    """(doc_id, digest, row, content, bands): `content` names the word sequence, null without words."""
+    """(doc_id, digest, row, content, bands): `content` names the word sequence, null without words. The bands are
+    those of the weighted sets, then those of the plain ones, as `similarity` takes the higher of both measures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = weights.value
         for batch in batches:
             for row, end, data, offsets in text_chunks(batch.column(3)):
                 words = find_words(data, offsets)
-                keys = sample_bands(*weighted_shingles(words, table)).view(np.int64)
+                hashes, weight, bounds = weighted_shingles(words, table)
+                keys = np.hstack([sample_bands(hashes, weight, bounds), plain_bands(hashes, bounds)]).view(np.int64)
                 content = [
                     hashlib.blake2b(words.hashes[a:b].tobytes(), digest_size=16).hexdigest() if b > a else None
                     for a, b in zip(words.bounds[:-1], words.bounds[1:])
@@ -141,7 +155,7 @@ def fingerprints(docs: DataFrame, weights: Broadcast) -> DataFrame:
                     [
                         *[batch.column(i).slice(row, end - row) for i in range(3)],
                         pa.array(content, pa.string()),
-                        pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.ravel()),
+                        pa.ListArray.from_arrays(np.arange(0, keys.size + 1, 2 * BANDS, dtype=np.int32), keys.ravel()),
                     ],
                     names=["doc_id", "digest", "row", "content", "bands"],
                 )
@@ -192,7 +206,7 @@ def bucket_keys(depth: int) -> Column:
     """Keys of all combinations of `depth` bands of the column `bands`."""
     keys = [
         F.xxhash64(*[part for i in chosen for part in (F.lit(i), F.get("bands", F.lit(i)))])
-        for chosen in itertools.combinations(range(BANDS), depth)
+        for chosen in itertools.combinations(range(2 * BANDS), depth)
     ]
     return F.explode(F.array(*keys))
 

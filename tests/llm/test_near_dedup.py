@@ -7,7 +7,8 @@ import pytest
 from messy import empty, messy
 
 from ratingloom.llm.near_dedup import (
-    BANDS, SIMILARITY, near_dedup_stage, near_duplicates, sample_bands, similarity, weighted_shingles,
+    BANDS, SIMILARITY, document_frequencies, fingerprints, near_dedup_stage, near_duplicates, sample_bands, similarity,
+    weighted_shingles,
 )
 from ratingloom.llm.components import components
 from ratingloom.llm.textbytes import CHUNK, PLAIN, SPACED, find_words, shingles, text_chunks
@@ -79,6 +80,27 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.class_id for r in got} == {0} and sum(r.keep for r in got) == 1
 
 
+def test_pairs_at_the_plain_border_meet_in_a_group_of_a_third_of_all_rows(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(9000)}" for _ in range(200)]
+    docs = []
+    for i in range(300):
+        own = list(base)
+        at = rng.randrange(170)
+        own[at : at + 16] = [f"x{i}n{k}" for k in range(16)]
+        docs.append((i, " ".join(own)))
+    docs.append((300, " ".join(base)))
+    docs += [(301 + i, " ".join(f"y{rng.randrange(90000)}" for _ in range(200))) for i in range(600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    weights = spark.sparkContext.broadcast(document_frequencies(frame.select("text")))
+    bands = {r.doc_id: r.bands for r in fingerprints(frame, weights).collect()}
+    whole = shingle_set(docs[300][1])
+    border = [i for i, t in docs[:300] if 0.8 <= len(shingle_set(t) & whole) / len(shingle_set(t) | whole) <= 0.85]
+    assert len(border) > 250
+    apart = [i for i in border if not any(x == y for x, y in zip(bands[i], bands[300]))]
+    assert len(apart) <= 2
+
+
 def test_messy_rows(spark):
     docs = messy(spark)
     got = near_duplicates(docs).collect()
