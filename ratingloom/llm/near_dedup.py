@@ -8,15 +8,16 @@ Document frequencies are counted over all texts in a fixed number of hash bucket
 tasks has the same size for any corpus; only shingles found in a good part of all texts stand out in it, which is
 what the weight is for.
 
-Groups: texts with the same words are one node from the start. In a bucket, members are compared with two pivots,
-never all with all; what these leave apart meets again in finer buckets. Buckets are pre-aggregated before the
-shuffle, and joins to a large bucket's pivots can be split.
+Groups: texts with the same words are one node from the start. In a bucket, members are compared with the two that
+meet most others; those that this leaves apart from the largest component become pivots themselves, in rounds, until
+no pair of a bucket is open. That is linear in a bucket of one group, and grows with the square only of the members
+that are like none or few of the others. Buckets are pre-aggregated before the shuffle, and joins to a large bucket's
+pivots can be split.
 """
 
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # of each measure; a pair that either puts at 0.8 meets in some band with probability 0.9992
 BUCKETS = 1 << 16  # of document frequencies
 POOL = 1 << 16  # random triples per sample, chosen by shingle hash
-DEPTHS = (1, 2, 3)  # bands that a bucket is made of, one pass after the other
+PIVOTS_GROW = 8  # times as many pivots of a bucket in each round
 SEED = 29
 
 _POOL: list[np.ndarray] = []
@@ -202,51 +203,102 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Broadcast, least: float)
     return joined.mapInArrow(run, "a string, b string")
 
 
-def bucket_keys(depth: int) -> Column:
-    """Keys of all combinations of `depth` bands of the column `bands`."""
-    keys = [
-        F.xxhash64(*[part for i in chosen for part in (F.lit(i), F.get("bands", F.lit(i)))])
-        for chosen in itertools.combinations(range(2 * BANDS), depth)
-    ]
-    return F.explode(F.array(*keys))
+def bucket_keys() -> Column:
+    """One key for each of the bands."""
+    return F.explode(F.array(*[F.xxhash64(F.lit(i), F.get("bands", F.lit(i))) for i in range(2 * BANDS)]))
 
 
-def linked(nodes: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame:
-    """(node, component) of the texts that a chain of verified pairs ties to others; `nodes` has content and bands.
+def sized(texts: DataFrame, weights: Broadcast) -> DataFrame:
+    """(content, n, mass): number and total weight of the distinct shingles of each of the texts (content, text)."""
 
-    First the members of a bucket are compared with its least and greatest one. Members of buckets that are not of
-    one class after that meet again in finer buckets, those of every two bands and then every three, where
-    dissimilar texts seldom stay together while similar ones share many; again with two pivots each. So the work per
-    text is bounded, and no bucket is worked through pair by pair.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = weights.value
+        for batch in batches:
+            n, mass = [], []
+            for _, _, data, offsets in text_chunks(batch.column(1)):
+                _, weight, bounds = weighted_shingles(find_words(data, offsets), table)
+                total = np.concatenate([[0.0], np.cumsum(weight, dtype=np.float64)])
+                n.append(np.diff(bounds))
+                mass.append(total[bounds[1:]] - total[bounds[:-1]])
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "content": batch.column(0),
+                    "n": pa.array(np.concatenate(n) if n else [], pa.int64()),
+                    "mass": pa.array(np.concatenate(mass) if mass else [], pa.float64()),
+                }
+            )
+
+    return texts.select("content", "text").mapInArrow(run, "content string, n long, mass double")
+
+
+def can_be_alike(x: str, y: str, least: float) -> Column:
+    """Whether the sizes of two sets allow that similarity; no set is more alike to another than their sizes are."""
+    ratio = lambda size: F.least(F.col(f"{x}.{size}"), F.col(f"{y}.{size}")) >= (least - 1e-4) * F.greatest(
+        F.col(f"{x}.{size}"), F.col(f"{y}.{size}")
+    )
+    return ratio("n") | ratio("mass")
+
+
+def linked(members: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame:
+    """(node, component) of the texts that a chain of verified pairs ties to others. `members` has bucket, content
+    and score, the number of texts that a content meets in all its buckets.
+
+    In every round some members of a bucket are its pivots, and all members of other components are compared with
+    them: first the two of highest score, as the text that others are copies of meets most of them. A member that was
+    a pivot is done. The members of the largest component of a bucket need not be pivots: whoever is apart from them
+    becomes one. Rounds go on, with PIVOTS_GROW times as many pivots each, until all others are done, so any two
+    members of a bucket are compared or known to be of one component.
     """
-    links, classes = None, None
-    members = nodes
-    for depth in DEPTHS:
-        buckets = members.select("content", bucket_keys(depth).alias("bucket"))
-        if classes is not None:
-            buckets = buckets.join(classes.withColumnRenamed("node", "content"), "content", "left")
-            component = F.coalesce("component", "content")
+    sizes = sized(texts, weights)
+    what = F.struct("score", "content", "n", "mass").alias("m")
+    members = durable(members.join(sizes, "content").select("bucket", what))
+    links = classes = done = asked = None
+    pivots_wanted = 2
+    while True:
+        if classes is None:
+            placed = members.withColumn("component", F.col("m.content")).withColumn("width", F.lit(1).cast("long"))
+        else:
+            widths = classes.groupBy("component").agg(F.count(F.lit(1)).alias("width"))
+            named = classes.join(widths, "component").select(F.col("node").alias("content"), "component", "width")
+            placed = members.withColumn("content", F.col("m.content")).join(named, "content", "left").drop("content")
+            placed = placed.withColumn("component", F.coalesce("component", "m.content"))
+            placed = placed.withColumn("width", F.coalesce("width", F.lit(1)))
+        if done is not None:
+            ends = placed.groupBy("bucket").agg(
+                F.max(F.struct("width", "component")).alias("main"), F.min("component").alias("x"), F.max("component").alias("y")
+            )
+            ends = ends.where("x != y").select("bucket", F.col("main.component").alias("main"))
+            placed = durable(placed.join(ends, "bucket"))
+            waiting = placed.where("component != main").withColumn("content", F.col("m.content"))
+            waiting = durable(waiting.join(done, ["bucket", "content"], "left_anti").drop("content"))
+            counts = waiting.groupBy("bucket").agg(F.count(F.lit(1)).alias("open"))
+            place = F.xxhash64("m.content", "bucket")
+            slot = F.when(F.col("open") <= pivots_wanted, place).otherwise(F.pmod(place, F.lit(pivots_wanted)))
+            chosen = waiting.join(counts, "bucket").groupBy("bucket", slot.alias("slot"))
+            pivots = durable(chosen.agg(F.max(F.struct("m", "component")).alias("p")).select("bucket", "p.*"))
+            if not pivots.limit(1).count():
+                return classes
+            pivots = pivots.withColumnRenamed("m", "p").withColumnRenamed("component", "other")
+            placed = placed.drop("main", "width")
         else:
-            component = F.col("content")
-        # at first the same texts are pivots of many buckets, which saves comparisons; then others for each bucket
-        place = F.lit(0).cast("long") if depth == 1 else F.xxhash64("content", "bucket")
-        buckets = buckets.select("bucket", F.struct(place.alias("place"), "content", component.alias("component")).alias("m"))
-        own = F.col("m.component")
-        ends = buckets.groupBy("bucket").agg(
-            F.min("m").alias("low"), F.max("m").alias("high"), F.min(own).alias("x"), F.max(own).alias("y")
+            best = members.groupBy("bucket").agg(F.max("m").alias("high"))
+            rest = members.join(best, "bucket").where("m.content != high.content").groupBy("bucket", "high")
+            both = rest.agg(F.max("m").alias("low")).select("bucket", F.explode(F.array("high", "low")).alias("p"))
+            pivots = durable(both.withColumn("other", F.col("p.content")))
+        pairs = (
+            placed.join(pivots, "bucket")
+            .where((F.col("component") != F.col("other")) & can_be_alike("m", "p", least))
+            .select(F.least("m.content", "p.content").alias("a"), F.greatest("m.content", "p.content").alias("b"))
+            .distinct()
         )
-        pivots = ends.where("x != y").select("bucket", F.explode(F.array("low", "high")).alias("p"))
-        asked = buckets.join(pivots, "bucket").where("m.component != p.component")
-        asked = asked.select(F.col("m.content").alias("m"), F.col("p.content").alias("p"))
-        pairs = asked.select(F.least("m", "p").alias("a"), F.greatest("m", "p").alias("b")).distinct()
-        pairs = durable(pairs)
+        pairs = durable(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"))
+        asked = pairs if asked is None else asked.unionByName(pairs)
         found = durable(verify(pairs, texts, weights, least))
         links = found if links is None else links.unionByName(found)
         classes = durable(components(links))
-        # those that were not alike may each be like others of their buckets
-        apart = pairs.join(found, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("content")).distinct()
-        members = nodes.join(apart, "content")
-    return classes
+        used = pivots.select("bucket", F.col("p.content").alias("content"))
+        done = used if done is None else done.unionByName(used)
+        pivots_wanted *= PIVOTS_GROW
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -262,17 +314,18 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     prints = durable(fingerprints(docs, weights))
     nodes = prints.where("content is not null").groupBy("content").agg(F.min(F.struct("doc_id", "digest", "bands")).alias("n"))
     nodes = durable(nodes.select("content", "n.*"))
-    buckets = nodes.select("content", bucket_keys(1).alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("bucket")
-    met = buckets.join(shared, "bucket").select("content").distinct()
-    nodes = durable(nodes.join(met, "content"))
+    buckets = nodes.select("content", bucket_keys().alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = durable(buckets.join(shared, "bucket"))
+    scores = durable(members.groupBy("content").agg(F.sum("members").alias("score")))
+    nodes = nodes.join(scores, "content")
     sources = docs.select(
         F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__digest"), "text"
     )
     same = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.col("digest") == F.col("__digest"))
     wanted = nodes.select("content", "doc_id", "digest")
     texts = durable(sources.join(wanted, same).select("content", "text").dropDuplicates(["content"]))
-    classes = linked(nodes, texts, weights, least)
+    classes = linked(members.drop("members").join(scores, "content"), texts, weights, least)
     placed = prints.drop("bands").join(classes.withColumnRenamed("node", "content"), "content", "left")
     own_class = F.coalesce("component", "content", F.concat(F.lit("row "), F.col("row").cast("string")))
     placed = durable(placed.withColumn("component", own_class))

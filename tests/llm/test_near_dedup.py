@@ -101,6 +101,35 @@ def test_pairs_at_the_plain_border_meet_in_a_group_of_a_third_of_all_rows(spark)
     assert len(apart) <= 2
 
 
+def test_thousands_of_copies_that_are_like_their_original_only(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(9000)}" for _ in range(200)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 2001):
+        own = list(base)
+        at = rng.randrange(4, 181)
+        own[at : at + 15] = [f"x{i}n{k}" for k in range(15)]
+        docs.append((i, " ".join(own)))
+    sets = [shingle_set(t) for _, t in docs]
+    assert all(0.8 <= len(s & sets[0]) / len(s | sets[0]) <= 0.85 for s in sets[1:])
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(1, 2000)]
+    assert sorted(alike)[1000] < 0.72
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sum(r.class_id == 0 for r in got) >= 1999
+
+
+def test_members_unlike_the_first_pivots_are_compared(spark):
+    rng = random.Random(7)
+    shared = [f"w{rng.randrange(9000)}" for _ in range(150)]
+    docs = []
+    for i in range(60):
+        own = shared + [f"x{i}n{k}" for k in range(60)]
+        docs.append((2 * i, " ".join(own)))
+        docs.append((2 * i + 1, " ".join([*own[:-2], f"z{i}", f"y{i}"])))
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert all(r.class_id == r.doc_id // 2 * 2 and r.class_size == 2 for r in got)
+
+
 def test_messy_rows(spark):
     docs = messy(spark)
     got = near_duplicates(docs).collect()
