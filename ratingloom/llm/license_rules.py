@@ -50,16 +50,16 @@ _FAMILIES = [
     ("gpl-2.0", "gpl general", rf"{_GPL}{_V}2(?: 0)?", "gpl 2 0(?: only| or later)?", "gnu org licenses old licenses gpl 2 0"),
     ("gpl-3.0", "gpl general", rf"{_GPL}{_V}3(?: 0)?", "gpl 3 0(?: only| or later)?", "gnu org licenses gpl 3 0"),
     ("gpl", "gpl general", _GPL, "gpl", "gnu org licenses gpl"),
-    ("lgpl-2.0", "lgpl library", rf"{_LGPL}{_V}2(?: 0)?", "lgpl 2 0(?: only| or later)?", "gnu org licenses old licenses lgpl 2 0"),
-    ("lgpl-2.1", "lgpl lesser", rf"{_LGPL}{_V}2 1", "lgpl 2 1(?: only| or later)?", "gnu org licenses old licenses lgpl 2 1"),
-    ("lgpl-3.0", "lgpl lesser", rf"{_LGPL}{_V}3(?: 0)?", "lgpl 3 0(?: only| or later)?", "gnu org licenses lgpl 3 0"),
+    ("lgpl-2.0", "lgpl lesser library", rf"{_LGPL}{_V}2(?: 0)?", "lgpl 2 0(?: only| or later)?", "gnu org licenses old licenses lgpl 2 0"),
+    ("lgpl-2.1", "lgpl lesser library", rf"{_LGPL}{_V}2 1", "lgpl 2 1(?: only| or later)?", "gnu org licenses old licenses lgpl 2 1"),
+    ("lgpl-3.0", "lgpl lesser library", rf"{_LGPL}{_V}3(?: 0)?", "lgpl 3 0(?: only| or later)?", "gnu org licenses lgpl 3 0"),
     ("lgpl", "lgpl lesser library", _LGPL, "lgpl", "gnu org licenses lgpl"),
     ("agpl-3.0", "agpl affero", rf"{_AGPL}{_V}3(?: 0)?", "agpl 3 0(?: only| or later)?", "gnu org licenses agpl 3 0"),
     ("agpl", "agpl affero", _AGPL, "agpl", "gnu org licenses agpl"),
     ("gfdl-1.3", "gfdl documentation", rf"(?:gnu free documentation licen[sc]e|gfdl){_V}1 3", "gfdl 1 3(?: only| or later)?", "gnu org licenses fdl 1 3"),
     ("gfdl", "gfdl documentation", "(?:gnu free documentation licen[sc]e|gfdl)", "gfdl", "gnu org licenses fdl"),
     ("bsd-1-clause", "bsd", "(?:1|one) clause bsd licen[sc]e", "bsd 1 clause", "opensource org licenses bsd 1 clause"),
-    ("bsd-2-clause", "bsd", "(?:(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd)(?: licen[sc]e)?", "bsd 2 clause", "opensource org licenses bsd 2 clause"),
+    ("bsd-2-clause", "bsd freebsd", "(?:(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd)(?: licen[sc]e)?", "bsd 2 clause", "opensource org licenses bsd 2 clause"),
     ("bsd-3-clause", "bsd", "(?:(?:3|three) clause bsd|bsd (?:3|three) clause|new bsd|modified bsd)(?: licen[sc]e)?", "bsd 3 clause", "opensource org licenses bsd 3 clause"),
     ("bsd-4-clause", "bsd", "(?:(?:4|four) clause bsd|bsd (?:4|four) clause|original bsd)(?: licen[sc]e)?", "bsd 4 clause", "directory fsf org wiki license bsd 4clause"),
     ("bsd", "bsd", "bsd(?: style)? licen[sc]e", "bsd", "opensource org licenses bsd license"),

@@ -1,4 +1,5 @@
 import re
+from re import _constants, _parser
 
 from messy import empty, messy
 
@@ -54,6 +55,50 @@ def test_same_as_brute_force(spark):
     assert got == sorted(str((r.doc_id, *brute(r.text))) for r in frame.collect())
 
 
+def samples(parsed):
+    """Texts that a parsed pattern matches: each of its alternatives, and each optional part with and without."""
+    parts = []
+    for kind, value in parsed:
+        if kind is _constants.LITERAL:
+            parts.append([chr(value)])
+        elif kind is _constants.IN:
+            parts.append([chr(c) for _, c in value])
+        elif kind is _constants.SUBPATTERN:
+            parts.append(samples(value[-1]))
+        elif kind is _constants.BRANCH:
+            parts.append([text for way in value[1] for text in samples(way)])
+        elif kind is _constants.MAX_REPEAT:
+            assert value[:2] == (0, 1)
+            parts.append([*samples(value[2]), ""])
+        else:
+            assert kind in (_constants.ASSERT, _constants.ASSERT_NOT)
+    first = [p[0] for p in parts]
+    return ["".join(first)] + ["".join([*first[:i], text, *first[i + 1 :]]) for i, p in enumerate(parts) for text in p[1:]]
+
+
+def test_every_alternative_of_a_pattern_has_a_keyword_of_its_rules():
+    gates = {}
+    for r in rules():
+        gates.setdefault((r.pattern, r.label), set()).add(r.keyword)
+    assert all(samples(_parser.parse(pattern)) for pattern, _ in gates)
+    lost = [
+        (label, text) for (pattern, label), words in gates.items() for text in samples(_parser.parse(pattern))
+        if re.search(pattern, f" {text} ") and not words & set(text.split())
+    ]
+    assert lost == []
+
+
+def test_names_without_the_short_name(spark):
+    texts = [
+        "Released under the FreeBSD License", "GNU Lesser General Public License version 2",
+        "library general public license 2.1", "GNU Library General Public License v3",
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in scan(frame).collect()}
+    for i, label in enumerate(["bsd-2-clause", "lgpl-2.0", "lgpl-2.1", "lgpl-3.0"]):
+        assert label in got[i]
+
+
 def test_hundreds_of_rules_have_their_keyword():
     own = rules()
     assert len(own) > 300
