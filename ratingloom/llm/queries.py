@@ -3,6 +3,7 @@
 from ratingloom.llm import (  # noqa: F401
     chat,
     decontaminate,
+    exact_dedup,
     html_extract,
     licenses,
     lm_scoring,
