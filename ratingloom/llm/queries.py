@@ -7,8 +7,10 @@ from ratingloom.llm import (  # noqa: F401
     html_extract,
     licenses,
     lm_scoring,
+    merkle,
     mixing,
     near_dedup,
+    periodic_runs,
     substring_dedup,
     toxicity,
     vector_search,
