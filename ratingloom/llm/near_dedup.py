@@ -8,11 +8,12 @@ Document frequencies are counted over all texts in a fixed number of hash bucket
 tasks has the same size for any corpus; only shingles found in a good part of all texts stand out in it, which is
 what the weight is for.
 
-Groups: texts with the same words are one node from the start. In a bucket, members are compared with the two that
-meet most others; those that this leaves apart from the largest component become pivots themselves, in rounds, until
-no pair of a bucket is open. That is linear in a bucket of one group, and grows with the square only of the members
-that are like none or few of the others. Buckets are pre-aggregated before the shuffle, and joins to a large bucket's
-pivots can be split.
+Groups: texts with the same words are one node from the start. In a large bucket, members are compared with the two
+that meet most others; members of buckets that this leaves in several components go through an exact prefix-filter
+join on rare shingles, across components only. That is linear in a bucket of one group and in one of texts that share
+a passage only; it grows with the square of texts that lie just below the threshold to very many others and share
+nearly all their rare shingles with them. Buckets are pre-aggregated before the shuffle, and joins to a large
+bucket's pivots can be split.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 3  # of each measure; a pair that either puts at 0.8 meets in some band with probability 0.9992
 BUCKETS = 1 << 16  # of document frequencies
 POOL = 1 << 16  # random triples per sample, chosen by shingle hash
-PIVOTS_GROW = 8  # times as many pivots of a bucket in each round
+SMALL = 8  # members of a bucket of which all pairs are compared
+LOAD = 1 << 18  # buckets of the counts by which shingles are called rare
+SLACK = 1e-4  # for rounding, where a bound must not drop a pair
 SEED = 29
 
 _POOL: list[np.ndarray] = []
@@ -239,66 +242,141 @@ def can_be_alike(x: str, y: str, least: float) -> Column:
     return ratio("n") | ratio("mass")
 
 
+def compared(pairs: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame:
+    """(node, component) from the verified ones of `pairs` (a, b)."""
+    return durable(components(durable(verify(durable(pairs.distinct()), texts, weights, least))))
+
+
+def placed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """`members` (content, ...) with the component of each content, itself if it has no link yet."""
+    named = classes.withColumnRenamed("node", "content")
+    return members.join(named, "content", "left").withColumn("component", F.coalesce("component", "content"))
+
+
+def shingle_load(texts: DataFrame) -> np.ndarray:
+    """How many of `texts` (text) have a shingle of each of LOAD hash buckets: one table of fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(LOAD, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in text_chunks(batch.column(0)):
+                hashes, _, _ = weighted_shingles(find_words(data, offsets), None)
+                table += np.bincount(load_bucket(hashes), minlength=LOAD)
+        used = np.flatnonzero(table)
+        for at in range(0, len(used), 1 << 14):
+            some = used[at : at + (1 << 14)]
+            yield pa.RecordBatch.from_pydict({"bucket": pa.array(some, pa.int32()), "n": pa.array(table[some], pa.int64())})
+
+    counted = texts.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = counted.toPandas()  # LOAD rows at most
+    table = np.zeros(LOAD, np.int64)
+    table[found.bucket.to_numpy()] = found.n.to_numpy()
+    return table
+
+
+def load_bucket(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - LOAD.bit_length() + 1)).astype(np.int64)
+
+
+def prefixes(texts: DataFrame, weights: Broadcast, load: Broadcast, least: float) -> DataFrame:
+    """(shingle, content, component, n, mass, n_left, mass_left) of the shingles of `texts` (content, component, text)
+    by which a text can be found.
+
+    The shingles of a text are put in one order for all texts, those of rare buckets first. If two texts are `least`
+    similar, the first shingle they share has enough of either text from there on; `n_left` and `mass_left` say how
+    much that is. Shingles with too little left to be the first, or found in no other text, are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, common = weights.value, load.value
+        for batch in batches:
+            for row, _, data, offsets in text_chunks(batch.column(2)):
+                hashes, weight, bounds = weighted_shingles(find_words(data, offsets), table)
+                owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+                often = common[load_bucket(hashes)]
+                order = np.lexsort((hashes, often, owner))
+                hashes, often, weight = hashes[order], often[order], weight[order].astype(np.float64)
+                before = np.concatenate([[0.0], np.cumsum(weight)])
+                mass = (before[bounds[1:]] - before[bounds[:-1]])[owner]
+                mass_left = before[bounds[1:]][owner] - before[:-1]
+                n = np.diff(bounds)[owner]
+                n_left = bounds[1:][owner] - np.arange(len(owner))
+                kept = (often > 1) & ((n_left >= (least - SLACK) * n) | (mass_left >= (least - SLACK) * mass))
+                at = pa.array(owner[kept] + row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(hashes[kept].view(np.int64)),
+                        batch.column(0).take(at),
+                        batch.column(1).take(at),
+                        *[pa.array(c[kept].astype(np.float64)) for c in (n, mass, n_left, mass_left)],
+                    ],
+                    names=["shingle", "content", "component", "n", "mass", "n_left", "mass_left"],
+                )
+
+    return texts.select("content", "component", "text").mapInArrow(
+        run, "shingle long, content string, component string, n double, mass double, n_left double, mass_left double"
+    )
+
+
+def joined_by_prefix(found: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of different components that share a shingle of `found` with enough of both texts left."""
+    lists = found.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    several = durable(found.join(lists.where("x != y").select("shingle"), "shingle", "left_semi"))
+    x, y = several.alias("x"), several.alias("y")
+
+    def enough(size: str) -> Column:
+        both = F.col(f"x.{size}") + F.col(f"y.{size}")
+        return F.least(f"x.{size}_left", f"y.{size}_left") >= (least / (1 + least) - SLACK) * both
+
+    alike = (enough("n") | enough("mass")) & can_be_alike("x", "y", least)
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & alike).select(
+        F.col("x.content").alias("a"), F.col("y.content").alias("b")
+    )
+
+
 def linked(members: DataFrame, texts: DataFrame, weights: Broadcast, least: float) -> DataFrame:
-    """(node, component) of the texts that a chain of verified pairs ties to others. `members` has bucket, content
-    and score, the number of texts that a content meets in all its buckets.
-
-    In every round some members of a bucket are its pivots, and all members of other components are compared with
-    them: first the two of highest score, as the text that others are copies of meets most of them. A member that was
-    a pivot is done. The members of the largest component of a bucket need not be pivots: whoever is apart from them
-    becomes one. Rounds go on, with PIVOTS_GROW times as many pivots each, until all others are done, so any two
-    members of a bucket are compared or known to be of one component.
+    """(node, component) of the texts that a chain of verified pairs ties to others. `members` has bucket, content,
+    members (the size of the bucket) and score, the number of texts that a content meets in all its buckets.
+
+    Of a bucket of up to SMALL members all pairs are compared, of a larger one each member with the two of highest
+    score, as the text that others are copies of meets most of them. Members of larger buckets that this leaves in
+    several components then find each other by the rare shingles that any two similar texts must share, an exact
+    search that has nothing to do with the bands; only pairs across components are made. Texts that differ from all
+    others in more than their similarity allows have no such shingle in common with any.
     """
     sizes = sized(texts, weights)
     what = F.struct("score", "content", "n", "mass").alias("m")
-    members = durable(members.join(sizes, "content").select("bucket", what))
-    links = classes = done = asked = None
-    pivots_wanted = 2
-    while True:
-        if classes is None:
-            placed = members.withColumn("component", F.col("m.content")).withColumn("width", F.lit(1).cast("long"))
-        else:
-            widths = classes.groupBy("component").agg(F.count(F.lit(1)).alias("width"))
-            named = classes.join(widths, "component").select(F.col("node").alias("content"), "component", "width")
-            placed = members.withColumn("content", F.col("m.content")).join(named, "content", "left").drop("content")
-            placed = placed.withColumn("component", F.coalesce("component", "m.content"))
-            placed = placed.withColumn("width", F.coalesce("width", F.lit(1)))
-        if done is not None:
-            ends = placed.groupBy("bucket").agg(
-                F.max(F.struct("width", "component")).alias("main"), F.min("component").alias("x"), F.max("component").alias("y")
-            )
-            ends = ends.where("x != y").select("bucket", F.col("main.component").alias("main"))
-            placed = durable(placed.join(ends, "bucket"))
-            waiting = placed.where("component != main").withColumn("content", F.col("m.content"))
-            waiting = durable(waiting.join(done, ["bucket", "content"], "left_anti").drop("content"))
-            counts = waiting.groupBy("bucket").agg(F.count(F.lit(1)).alias("open"))
-            place = F.xxhash64("m.content", "bucket")
-            slot = F.when(F.col("open") <= pivots_wanted, place).otherwise(F.pmod(place, F.lit(pivots_wanted)))
-            chosen = waiting.join(counts, "bucket").groupBy("bucket", slot.alias("slot"))
-            pivots = durable(chosen.agg(F.max(F.struct("m", "component")).alias("p")).select("bucket", "p.*"))
-            if not pivots.limit(1).count():
-                return classes
-            pivots = pivots.withColumnRenamed("m", "p").withColumnRenamed("component", "other")
-            placed = placed.drop("main", "width")
-        else:
-            best = members.groupBy("bucket").agg(F.max("m").alias("high"))
-            rest = members.join(best, "bucket").where("m.content != high.content").groupBy("bucket", "high")
-            both = rest.agg(F.max("m").alias("low")).select("bucket", F.explode(F.array("high", "low")).alias("p"))
-            pivots = durable(both.withColumn("other", F.col("p.content")))
-        pairs = (
-            placed.join(pivots, "bucket")
-            .where((F.col("component") != F.col("other")) & can_be_alike("m", "p", least))
-            .select(F.least("m.content", "p.content").alias("a"), F.greatest("m.content", "p.content").alias("b"))
-            .distinct()
-        )
-        pairs = durable(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"))
-        asked = pairs if asked is None else asked.unionByName(pairs)
-        found = durable(verify(pairs, texts, weights, least))
-        links = found if links is None else links.unionByName(found)
-        classes = durable(components(links))
-        used = pivots.select("bucket", F.col("p.content").alias("content"))
-        done = used if done is None else done.unionByName(used)
-        pivots_wanted *= PIVOTS_GROW
+    members = durable(members.join(sizes, "content").select("bucket", "members", what))
+    few, many = members.where(F.col("members") <= SMALL), members.where(F.col("members") > SMALL)
+    x, y = few.select("bucket", F.col("m").alias("p")), few.select("bucket", "m")
+    within = x.join(y, "bucket").where((F.col("p.content") < F.col("m.content")) & can_be_alike("m", "p", least))
+    best = many.groupBy("bucket").agg(F.max("m").alias("high"))
+    rest = many.join(best, "bucket").where("m.content != high.content").groupBy("bucket", "high")
+    both = rest.agg(F.max("m").alias("low")).select("bucket", F.explode(F.array("high", "low")).alias("p"))
+    stars = many.join(both, "bucket").where((F.col("m.content") != F.col("p.content")) & can_be_alike("m", "p", least))
+    pair = F.least("m.content", "p.content").alias("a"), F.greatest("m.content", "p.content").alias("b")
+    classes = compared(within.select(*pair).unionByName(stars.select(*pair)), texts, weights, least)
+
+    named = durable(placed(many.select("bucket", F.col("m.content").alias("content")), classes))
+    ends = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    waiting = named.join(ends.where("x != y").select("bucket"), "bucket", "left_semi").select("content", "component")
+    waiting = durable(texts.join(waiting.distinct(), "content"))
+    load = texts.sparkSession.sparkContext.broadcast(shingle_load(waiting.select("text")))
+    pairs = joined_by_prefix(durable(prefixes(waiting, weights, load, least)), least)
+    found = verify(durable(pairs.distinct()), texts, weights, least)
+    # links between components of before
+    ends = waiting.select("content", "component")
+    for side in ("a", "b"):
+        other = ends.select(F.col("content").alias(side), F.col("component").alias(f"{side}_component"))
+        found = found.join(other, side)
+    joined = components(durable(found.select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))))
+    merged = durable(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")))
+    alone = merged.join(classes.select("component").distinct(), "component", "left_anti")
+    return durable(
+        classes.join(merged, "component", "left")
+        .select("node", F.coalesce("whole", "component").alias("component"))
+        .unionByName(alone.select(F.col("component").alias("node"), F.col("whole").alias("component")))
+    )
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -325,7 +403,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     same = (F.col("doc_id").eqNullSafe(F.col("__id"))) & (F.col("digest") == F.col("__digest"))
     wanted = nodes.select("content", "doc_id", "digest")
     texts = durable(sources.join(wanted, same).select("content", "text").dropDuplicates(["content"]))
-    classes = linked(members.drop("members").join(scores, "content"), texts, weights, least)
+    classes = linked(members.join(scores, "content"), texts, weights, least)
     placed = prints.drop("bands").join(classes.withColumnRenamed("node", "content"), "content", "left")
     own_class = F.coalesce("component", "content", F.concat(F.lit("row "), F.col("row").cast("string")))
     placed = durable(placed.withColumn("component", own_class))
