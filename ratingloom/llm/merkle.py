@@ -306,12 +306,13 @@ def manifest(docs: DataFrame, tampered: Column) -> tuple[Trees, Trees, DataFrame
     prepare(docs.sparkSession)
     # a name that orders as the sources do, null first, and can be joined
     tree = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source").cast("string")))
-    leaves = docs.select(
+    # kept, so that sorting by range does not digest all texts twice
+    leaves = durable(docs.select(
         tree.alias("tree"),
         F.col("doc_id").cast("long").alias("doc_id"),
         leaf_digest(F.col("text")).alias("digest"),
         F.when(tampered.isNotNull(), leaf_digest(tampered)).alias("tampered"),
-    )
+    ))
     numbered = running_totals(leaves, ["doc_id", "digest"], {"rows": F.lit(1)}, ["tree"]).select(
         "tree", F.col("before_rows").alias("idx"), F.col("all_rows").alias("size"), "digest", "doc_id", "tampered"
     )
