@@ -121,6 +121,15 @@ def exact_duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return duplicate_keys(df, columns)
 
 
+def count_copies(df: DataFrame, columns: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """One row per group of rows equal in `columns`, null being equal to null, with its size as `copies`.
+
+    `carry` are further columns that follow from these. One aggregate with map-side combine.
+    """
+    further = [F.min(c).alias(c) for c in carry]
+    return df.groupBy(*columns).agg(*further, F.count(F.lit(1)).alias("copies"))
+
+
 def drop_exact_duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(columns))
 

@@ -256,17 +256,20 @@ def enriched(spark, folder):
 
 @query(
     "p11_exact_dedup",
-    """SELECT user_id, item_id, ts_ms, rating, main_category, array_to_string(categories, '|') AS categories, price,
+    """SELECT user_id, item_id, ts_ms, rating, CASE WHEN item_id % 5 > 0 THEN main_category END AS main_category,
+       array_to_string(categories, '|') AS categories, CASE WHEN item_id % 7 > 0 THEN price END AS price,
        count(*) AS copies FROM interactions LEFT JOIN items USING (item_id) GROUP BY ALL""",
 )
 def p11_exact_dedup(spark, folder):
+    """Copies per rating with its item's metadata, some of which is not known."""
     columns = ["user_id", "item_id", "event_ts", "rating", "main_category", "categories", "price"]
-    rows = enriched(spark, folder)
-    kept = clean.drop_exact_duplicates(rows.select(*columns, "ts_ms"), columns)
-    found = clean.exact_duplicates(rows, columns).withColumnRenamed("n_rows", "copies")
-    return kept.join(found, columns, "left").select(
-        "user_id", "item_id", "ts_ms", "rating", "main_category", joined("categories", "|").alias("categories"), "price",
-        F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
+    rows = enriched(spark, folder).withColumns({
+        "main_category": F.when(F.col("item_id") % 5 > 0, F.col("main_category")),
+        "price": F.when(F.col("item_id") % 7 > 0, F.col("price")),
+    })
+    found = clean.count_copies(rows, columns, carry=["ts_ms"])
+    return found.select(
+        "user_id", "item_id", "ts_ms", "rating", "main_category", joined("categories", "|").alias("categories"), "price", "copies"
     )
 
 

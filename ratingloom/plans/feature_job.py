@@ -100,8 +100,14 @@ def sequence_columns(df: DataFrame) -> DataFrame:
 
 
 def user_features(rows: DataFrame, cuts: KeyCuts | None = None) -> DataFrame:
-    """One row per (user, time): trailing statistics and recent history. Both windows share one shuffle."""
-    longest = longest_per_user_ts(user_history(user_stats(rows, cuts), cuts, mark_last=True))
+    """One row per (user, time): trailing statistics and recent history. Both windows share one shuffle.
+
+    Statistics count every row; a history holds each (item, time) of the user once, with its highest rating.
+    """
+    stats = user_stats(rows, cuts)
+    keys = [c for c in stats.columns if c != "rating"]
+    visits = stats.groupBy(*keys).agg(F.max("rating").alias("rating")).select(*stats.columns)
+    longest = longest_per_user_ts(user_history(visits, cuts, mark_last=True))
     return sequence_columns(longest)
 
 

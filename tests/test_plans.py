@@ -63,3 +63,25 @@ def test_no_python_and_no_cross_join(spark, name):
     text = plan_of(QUERIES[name](spark, DATA))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert not re.search(r"Python|InPandas|InArrow|BatchEval", text)
+
+
+def test_history_holds_a_repeated_rating_once(spark):
+    from ratingloom.plans.feature_job import user_features
+
+    rows = [(1, 5, 4.0, 1), (1, 5, 2.0, 1), (1, 6, 3.0, 2), (1, 5, 4.0, 3), (1, 7, 1.0, 4)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double, day int").selectExpr(
+        "user_id", "item_id", "rating", "timestamp_seconds(86400 * day) AS event_ts", "86400000L * day AS ts_ms"
+    )
+    got = {r.ts_ms // 86_400_000: r for r in user_features(df).collect()}
+    assert [i for i in got[4].recent_items if i != -1] == [5, 6, 5]
+    assert got[2].user_rating_cnt_90d == 2 and got[2].user_rating_avg_90d == 3.0  # statistics count both rows
+    assert got[4].user_rating_cnt_90d == 4 and len(got) == 4
+
+
+def test_copies_are_counted_where_columns_are_null(spark):
+    from ratingloom.operators.clean import count_copies
+
+    rows = [(1, None, 7), (1, None, 7), (1, 2.0, 7), (None, None, 8)]
+    df = spark.createDataFrame(rows, "a long, b double, c long")
+    found = count_copies(df, ["a", "b"], carry=["c"]).collect()
+    assert sorted((str(r.a), str(r.b), r.c, r.copies) for r in found) == [("1", "2.0", 7, 1), ("1", "None", 7, 2), ("None", "None", 8, 1)]
