@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ratingloom.operators import sets, stats
 from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.ranking import POPULAR_CANDIDATES, popular_items
-from ratingloom.operators.dictionary import build_dictionary
-from ratingloom.operators.skipgram import co_occurring, sequence_positions
+from ratingloom.operators.skipgram import sequence_positions
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import CUT_MS, joined, query, rounded
 from ratingloom.plans.catalog.rows import SEQUENCES, enriched, labelled
@@ -117,38 +116,6 @@ def a9_basket_freq(spark, folder):
     return stats.basket_frequency(sequence_positions(views.interactions(spark, folder)))
 
 
-# Every item is asked about this many others, found by their place in the dictionary.
-PARTNERS = 20
-
-
-@query(
-    "a9_co_occurrence",
-    f"""SELECT a, b FROM (SELECT DISTINCT x.item_id AS a, y.item_id AS b FROM numbered x, (SELECT unnest(range(1, {PARTNERS + 1})) AS d),
-        numbered y WHERE y.idx = (x.idx * 31 + d * 17) % (SELECT count(*) FROM numbered))
-        SEMI JOIN (SELECT p.item_id AS a, q.item_id AS b FROM baskets p JOIN baskets q USING (user_id)) USING (a, b)""",
-    {
-        **SEQUENCES,
-        "baskets": "SELECT DISTINCT user_id, item_id FROM positions",
-        "numbered": "SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM (SELECT DISTINCT item_id FROM positions)",
-    },
-)
-def a9_co_occurrence(spark, folder):
-    """Of the asked pairs, twenty for each item, those that share a basket."""
-    positions = durable(sequence_positions(views.interactions(spark, folder)))
-    frequency = durable(stats.basket_frequency(positions))
-    numbered = durable(build_dictionary(positions, "item_id"))
-    size = numbered.count()
-    draw = F.explode(F.sequence(F.lit(1), F.lit(PARTNERS)))
-    other = numbered.select(F.col("item_id").alias("b"), F.col("idx").alias("to"))
-    asked = (
-        numbered.select(F.col("item_id").alias("a"), "idx", draw.alias("d"))
-        .withColumn("to", F.pmod(F.col("idx") * 31 + F.col("d") * 17, F.lit(max(1, size))))
-        .join(other, "to")
-        .select("a", "b")
-        .distinct()
-    )
-    return co_occurring(asked, stats.user_items(positions), frequency)
-
 
 @query(
     "a10_first_per_key",
