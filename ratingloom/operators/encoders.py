@@ -185,13 +185,9 @@ def category_entries(df: DataFrame, levels: DataFrame, identity: str, column: st
     return counted.join(levels, "level").select(identity, "pos", "value")
 
 
-def item_entries(df: DataFrame, fit: DataFrame, identity: str, stat_columns: Sequence[str]) -> DataFrame:
-    """(identity, pos, value): one-hot category, category counts, price and statistics side by side, every position
-    standardised over the fit rows; categories a row does not have are left out.
-
-    An absent entry stands for -mean / deviation of its position, the same for all rows, so the sparse form has all
-    there is to know. Vocabularies are tables, looked up by joins, and the moments one aggregate.
-    """
+def item_features(df: DataFrame, fit: DataFrame, identity: str, stat_columns: Sequence[str]) -> DataFrame:
+    """(identity, pos, value): one-hot category, category counts, price and statistics side by side, as sparse entries;
+    categories that the fit rows don't have are left out. Vocabularies are tables of any size, looked up by joins."""
     kinds, names = level_table(fit.select("main_category")), level_table(fit.select(F.explode(CategoryCounts.tokens("categories"))))
     first, second = (t.agg(F.count(F.lit(1))).first()[0] for t in (kinds, names))
     price, stats = ScaledPrice.fit(fit, "price"), Standardised.fit(fit, stat_columns)
@@ -199,11 +195,20 @@ def item_entries(df: DataFrame, fit: DataFrame, identity: str, stat_columns: Seq
         F.struct(F.lit(first + second + i).cast("long").alias("pos"), v.alias("value"))
         for i, v in enumerate([price(), *stats.each()])
     ])
-    entries = durable(
+    return durable(
         one_hot_entries(df, kinds, identity, "main_category")
         .unionByName(category_entries(df, names, identity, "categories").withColumn("pos", F.col("pos") + first))
         .unionByName(df.select(identity, F.inline(dense)))
     )
+
+
+def item_entries(df: DataFrame, fit: DataFrame, identity: str, stat_columns: Sequence[str]) -> DataFrame:
+    """The entries of `item_features`, every position standardised over the fit rows.
+
+    An absent entry stands for -mean / deviation of its position, the same for all rows, so the sparse form has all
+    there is to know. The moments are one aggregate.
+    """
+    entries = item_features(df, fit, identity, stat_columns)
     rows = fit.agg(F.count(F.lit(1))).first()[0]
     known = entries.join(fit.select(identity), identity, "left_semi")
     mean, square = F.sum("value") / rows, F.sum(F.col("value") * F.col("value")) / rows

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.times import HISTORY_LENGTH, PADDING, left_pad
 from ratingloom.functions.vectors import unit
-from ratingloom.operators import models
+from ratingloom.operators import models, sequence_ranker
 from ratingloom.operators.dictionary import build_dictionary, map_ids, sequence_to_index
 from ratingloom.operators.encoders import (
+    item_features,
     CategoryCounts,
     ScaledPrice,
     Standardised,
@@ -21,7 +22,9 @@ from ratingloom.operators.encoders import (
     tfidf,
 )
 from ratingloom.operators.skew import find_cuts
-from ratingloom.operators.skipgram import sequence_positions, skipgram_pairs
+from ratingloom.operators.skipgram import sequence_positions, skipgram_negatives, skipgram_pairs
+from ratingloom.operators.skipgram_model import labelled_counts, learn_item_vectors
+from ratingloom.operators.stats import basket_frequency, user_items
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import CUT_MS, joined, query, rounded
 from ratingloom.plans.catalog.ranking import DIMENSION
@@ -237,9 +240,11 @@ def training_pairs(spark, folder):
 
 @query("m14_item_embeddings")
 def m14_item_embeddings(spark, folder):
-    """Item vectors learned from the skip-gram pairs."""
-    rows = views.interactions(spark, folder)
-    vectors = models.learn_item_vectors(training_pairs(spark, folder), build_dictionary(rows, "item_id"), dimension=16, iterations=3)
+    """Item vectors learned from the skip-gram pairs and their negatives."""
+    positions = durable(sequence_positions(views.interactions(spark, folder)))
+    pairs = durable(skipgram_pairs(positions))
+    negatives = skipgram_negatives(pairs, user_items(positions), basket_frequency(positions))
+    vectors = learn_item_vectors(labelled_counts(pairs, negatives), dimension=16, epochs=3)
     return vectors.select("item_id", F.posexplode("vector").alias("pos", "value")).withColumn("value", rounded("value"))
 
 
@@ -272,14 +277,18 @@ def m16_batch_score(spark, folder):
 
 @query("m17_ranker")
 def m17_ranker(spark, folder):
-    """Logistic ranker on item features and the mean vector of the history, fitted on the training rows, with positives
-    weighted by the sampling ratio; scores of the validation rows."""
+    """Ranker on item features and the history place by place, fitted on the training rows, with positives weighted by
+    the sampling ratio; scores of the validation rows."""
     from ratingloom.plans.catalog.sampling import RANKER_RATIO, ranker_rows
 
     rows = durable(ranker_rows(spark, folder))
-    features = F.concat("item_features", "history_vector")
-    model = models.fit_ranker(rows.where(F.col("ts_ms") < CUT_MS), features, "label", positive_weight=float(RANKER_RATIO))
-    return models.apply_ranker(model, rows.where(F.col("ts_ms") >= CUT_MS), features).select("user_id", "item_id", "ts_ms", "label", rounded("score").alias("score"))
+    frame, fit = encoder_frame(spark, folder)
+    entries = item_features(frame, fit, "item_id", feature_job.ITEM_STAT_COLUMNS)
+    table = sequence_ranker.sparse_rows(rows, entries, views.vectors(spark, folder), keep=["user_id", "item_id", "ts_ms", "label"])
+    table = durable(table)
+    model = sequence_ranker.fit(table.where(F.col("ts_ms") < CUT_MS), "label", positive_weight=float(RANKER_RATIO))
+    scored = sequence_ranker.score(model, table.where(F.col("ts_ms") >= CUT_MS))
+    return scored.select("user_id", "item_id", "ts_ms", "label", rounded("score").alias("score"))
 
 
 @query(
