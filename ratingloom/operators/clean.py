@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.functions.keyed import keyed_hash
+from ratingloom.operators.selection import smallest
 
 # The columns the drift check compares and their types.
 DRIFT_COLUMNS = {
@@ -139,9 +140,10 @@ def binary_label(df: DataFrame, rating: str = "rating") -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, identity: Sequence[str]) -> DataFrame:
-    """n rows without replacement: the n smallest keyed hashes (a bounded top-n, no full sort)."""
+    """n rows without replacement: the n smallest keyed hashes, found by selection instead of a sort in one task."""
     key = keyed_hash(seed, *[F.col(c) for c in identity])
-    return df.withColumn("__key", key).orderBy("__key", *identity).limit(n).drop("__key")
+    leading = F.conv(F.substring(key, 1, 15), 16, 10)
+    return smallest(df, n, leading, [key, *identity])
 
 
 def shuffle_rows(df: DataFrame, seed: int, identity: Sequence[str]) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.operators.selection import quantiles
+
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 # Fixed value: the time zone in which calendar counts are read.
 CALENDAR_ZONE = "US/Eastern"
@@ -97,11 +99,11 @@ def basket_frequency(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, distinct, mean, deviation, min, quartiles and max per numeric column, long form, one pass.
+    """Count, distinct, mean, deviation, min, quartiles and max per numeric column, long form.
 
-    Quartiles are exact nearest-rank values from a sketch-free `percentile`; its state holds one entry per
-    distinct value, so it is meant for columns of few distinct values, such as ratings.
+    Quartiles are exact, linear between neighbours, and no task holds the values of a column.
     """
+    quartiles = quantiles(df, columns, (0.25, 0.5, 0.75))
     packed = []
     for c in columns:
         v = F.col(c).cast("double")
@@ -112,9 +114,7 @@ def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.avg(v).alias("mean"),
             F.stddev_samp(v).alias("std"),
             F.min(v).alias("min"),
-            F.percentile(v, F.lit(0.25)).alias("q25"),
-            F.percentile(v, F.lit(0.5)).alias("q50"),
-            F.percentile(v, F.lit(0.75)).alias("q75"),
+            *[F.lit(q).cast("double").alias(n) for n, q in zip(("q25", "q50", "q75"), quartiles[c])],
             F.max(v).alias("max"),
         ).alias(c)]
     return df.agg(*packed).select(F.inline(F.array(*[F.col(c) for c in columns])))

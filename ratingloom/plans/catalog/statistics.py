@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ratingloom.operators import sets, stats
+from ratingloom.operators import selection, sets, stats
 from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.ranking import POPULAR_CANDIDATES, popular_items
 from ratingloom.operators.skipgram import sequence_positions
@@ -148,6 +148,20 @@ def a11_profile(spark, folder):
     return both.withColumns({"mean": rounded("mean"), "std": rounded("std")})
 
 
+@query(
+    "a11_quartiles",
+    """SELECT 'l_extendedprice' AS column_name, round(quantile_cont(l_extendedprice, 0.25), 6) AS q25, round(quantile_cont(l_extendedprice, 0.5), 6) AS q50,
+       round(quantile_cont(l_extendedprice, 0.75), 6) AS q75 FROM lineitem UNION ALL
+       SELECT 'l_orderkey', quantile_cont(CAST(l_orderkey AS DOUBLE), 0.25), quantile_cont(CAST(l_orderkey AS DOUBLE), 0.5), quantile_cont(CAST(l_orderkey AS DOUBLE), 0.75) FROM lineitem""",
+)
+def a11_quartiles(spark, folder):
+    """Exact quartiles of columns with nearly as many values as rows."""
+    columns = ["l_extendedprice", "l_orderkey"]
+    found = selection.quantiles(views.table(spark, folder, "lineitem", *columns), columns, (0.25, 0.5, 0.75))
+    rows = spark.createDataFrame([(c, *q) for c, q in found.items()], "column_name string, q25 double, q50 double, q75 double")
+    return rows.withColumns({q: rounded(q) for q in ("q25", "q50", "q75")})
+
+
 SCORED = {
     "scored": """SELECT i.user_id, i.item_id, i.ts_ms, CAST(i.rating > 3 AS INTEGER) AS label, p.rating_avg / 5 AS p
         FROM interactions i JOIN (SELECT item_id, avg(rating) AS rating_avg FROM interactions GROUP BY item_id) p
