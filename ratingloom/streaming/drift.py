@@ -1,4 +1,8 @@
-"""Drift checks on a stream: collect until there are enough rows, then compare with a fixed reference."""
+"""Drift checks on a stream: count values until there are enough rows, then compare with a fixed reference.
+
+The reference is counted once. A micro-batch is staged as its value counts, which add up, so a report reads the counts
+of its own generation and looks values up in what is kept of the reference; no row is read twice.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratingloom.operators.clean import conform
-from ratingloom.operators.drift import column_drift
+from ratingloom.operators.drift import column_counts, drift_of_counts, keep_reference
 
 MIN_ROWS = 3
 
@@ -16,13 +20,14 @@ MIN_ROWS = 3
 def start_drift_watch(
     changes: DataFrame, reference: DataFrame, staging: str, reports: str, checkpoint: str, min_rows: int = MIN_ROWS
 ) -> StreamingQuery:
-    """Stage micro-batches; once `min_rows` are staged, compare them with the reference and begin anew.
+    """Stage the counts of micro-batches; once `min_rows` rows are staged, compare them with the reference and begin
+    anew.
 
     A staged batch belongs to the generation it arrived in. A report closes its generation, so nothing is
     moved or deleted, and a replayed batch overwrites its own folders only. The reference is conformed to
-    the compared columns, as the staged rows are.
+    the compared columns, as the batches are.
     """
-    fixed = conform(reference)
+    known = keep_reference(conform(reference))
     progress = {"generation": None}
 
     def generation(spark: SparkSession, batch_id: int) -> int:
@@ -35,14 +40,13 @@ def start_drift_watch(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         begin = generation(spark, batch_id)
-        conform(batch).write.mode("overwrite").parquet(f"{staging}/generation={begin}/batch={batch_id}")
-        current = spark.read.schema(fixed.schema).option("recursiveFileLookup", "true").parquet(
-            f"{staging}/generation={begin}"
-        )
-        rows = current.count()  # from the footers of the staged files
+        folder = f"{staging}/generation={begin}"
+        column_counts(conform(batch)).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        counts = spark.read.option("recursiveFileLookup", "true").parquet(folder)
+        rows = counts.where("column_name = ''").agg(F.sum("n")).first()[0]
         if rows < min_rows:
             return
-        report = column_drift(fixed, current).withColumn("n_rows", F.lit(rows))
+        report = drift_of_counts(known, counts).withColumn("n_rows", F.lit(rows))
         report.write.mode("overwrite").parquet(f"{reports}/closed={batch_id}")
         progress["generation"] = batch_id + 1
 

@@ -9,13 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ratingloom.functions.times import HISTORY_LENGTH, bucket_sequence, iso_seconds, keep_last, padded_seconds_from_text
 from ratingloom.operators.ordered import top_per_key
 from ratingloom.sources.changes import decode_changes
-from ratingloom.sources.snapshot import read_snapshot, upsert_latest
+from ratingloom.sources.keyed_state import CAPACITY, KeyedState
 
 # Fixed value: liked items count as this much later than the newest one in the history.
 LIKE_DELAY_MS = 2 * 86_400_000
 
 SNAPSHOT_KEYS = ["user_id"]
-COMPACT_EVERY = 16  # micro-batches
+CLEAN_EVERY = 16  # micro-batches
 
 
 def change_events(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -81,16 +81,24 @@ def with_sequences(updates: DataFrame) -> DataFrame:
     )
 
 
-def start_history(changes: DataFrame, snapshot: str, checkpoint: str, payload: str = "payload") -> StreamingQuery:
-    """Run over all changes available now; every micro-batch updates the snapshot folder.
+def history_state(spark: SparkSession, path: str, capacity: int = CAPACITY) -> KeyedState:
+    return KeyedState(spark, path, SNAPSHOT_KEYS, capacity)
 
-    A batch reads what batches before it have left, so one that is run again gives the same rows.
+
+def start_history(
+    changes: DataFrame, snapshot: str, checkpoint: str, payload: str = "payload", capacity: int = CAPACITY
+) -> StreamingQuery:
+    """Run over all changes available now; every micro-batch updates the rows of its users in the keyed state.
+
+    A batch reads the buckets of its own users as batches before it have left them, so one that is run again gives
+    the same rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = read_snapshot(batch.sparkSession, snapshot, SNAPSHOT_KEYS, ["n_events"], before=batch_id)
-        rows = with_sequences(advance(batch, known))
-        upsert_latest(rows, batch_id, snapshot, SNAPSHOT_KEYS, ["n_events"], compact_every=COMPACT_EVERY)
+        state = history_state(batch.sparkSession, snapshot, capacity)
+        state.update(batch, batch_id, lambda events, known: with_sequences(advance(events, known)))
+        if batch_id % CLEAN_EVERY == CLEAN_EVERY - 1:
+            state.clean()
 
     return (
         change_events(changes, payload)
@@ -101,9 +109,9 @@ def start_history(changes: DataFrame, snapshot: str, checkpoint: str, payload: s
     )
 
 
-def current_users(spark: SparkSession, snapshot: str) -> DataFrame:
-    """Newest row of every user in the snapshot. `n_events` grows with every update, so it decides."""
-    return read_snapshot(spark, snapshot, SNAPSHOT_KEYS, ["n_events"])
+def current_users(spark: SparkSession, snapshot: str) -> DataFrame | None:
+    """Row of every user in the state."""
+    return history_state(spark, snapshot).current()
 
 
 def start_quarantine(changes: DataFrame, good_path: str, bad_path: str, checkpoint: str, payload: str = "payload") -> StreamingQuery:

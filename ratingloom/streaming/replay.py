@@ -12,16 +12,20 @@ from ratingloom.session import durable
 ROWS_PER_FILE = 1_000_000
 
 
-def write_replay(df: DataFrame, path: str, order: str = "ts_ms", slices: int = 4, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """Cut the rows into slices of time and write them in order, so that later rows land in younger files.
+def write_replay(
+    df: DataFrame, path: str, order: str = "ts_ms", slices: int = 4, rows_per_file: int = ROWS_PER_FILE, cuts: list | None = None
+) -> int:
+    """Cut the rows into slices of time, at `cuts` if given, and write them in order, so that later rows land in
+    younger files.
 
     A file stream takes files by age. Returns how many files a slice has: reading as many per trigger replays slice
     after slice. Files hold about `rows_per_file` rows, so no file and no task grows with the data.
     """
     rows = durable(df)
+    slices = slices if cuts is None else len(cuts) + 1
     shares = [i / slices for i in range(1, slices)]
-    count, cuts = rows.agg(F.count(F.lit(1)), F.percentile_approx(order, shares or [0.5])).first()
-    edges = [None, *((cuts or []) if shares else []), None]
+    count, found = rows.agg(F.count(F.lit(1)), F.percentile_approx(order, shares or [0.5])).first()
+    edges = [None, *((found or [] if cuts is None else cuts) if shares else []), None]
     files = max(1, -(-count // (slices * rows_per_file)))
     for low, high in zip(edges, edges[1:]):
         part = rows
