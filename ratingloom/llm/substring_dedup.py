@@ -3,8 +3,9 @@
 A paragraph is a run of twenty words that begins at an anchor, the word of least hash among 31 neighbours. Equal
 passages have equal anchors, wherever they stand, so a passage of fifty words holds at least one whole paragraph
 of its own, also in the middle of a line. Paragraphs that collide in a band of their MinHash signature are joined
-with the first paragraph of their bucket; the two documents are then compared along that diagonal, and a passage
-counts if it has fifty words and, by exact Jaccard similarity of five-word shingles, is at least 0.8 similar.
+with the first paragraph of their bucket; the two documents are then aligned along that diagonal and those a few
+words off, and a passage counts if it has fifty words and, by exact Jaccard similarity of five-word shingles, is at
+least 0.8 similar.
 
 Paragraphs that found no passage with the first of their bucket are compared among each other by their runs of
 fifty words, so nothing hangs on which document comes first.
@@ -38,6 +39,8 @@ LEAST_WORDS = 50  # of a repeated passage
 SIMILARITY = 0.8
 BANDS, ROWS = 2, 2  # equal paragraphs always meet; at similarity 0.8 a paragraph does with 0.87
 BRIDGE = 3  # words that differ between two equal stretches of one passage, at most
+GAP = 8  # the same where the passage as a whole is compared
+REACH = 4  # words inserted or left out that shift one part of a passage against another, at most
 _SPREAD = np.random.default_rng(31).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -208,6 +211,49 @@ def repeated_passages(left: np.ndarray, right: np.ndarray) -> list[tuple[int, in
     return found
 
 
+def _runs(left: np.ndarray, right: np.ndarray, diagonal: int) -> list[tuple[int, int, int]]:
+    """(first word left, first word right, words) of the equal stretches with `diagonal` words between both places."""
+    a, b = max(0, -diagonal), max(0, diagonal)
+    n = min(len(left) - a, len(right) - b)
+    same = (left[a : a + n] == right[b : b + n]) & (left[a : a + n] != 0)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(np.int8), [0]])))
+    starts, sizes = edge[::2], np.diff(edge)[::2]
+    return [(a + x, b + x, n) for x, n in zip(starts.tolist(), sizes.tolist()) if n >= SHINGLE]
+
+
+def shifted_passages(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """(first, end, first word right, similarity): the passages of `repeated_passages`, and those in which words were
+    inserted or left out.
+
+    Equal stretches on diagonals up to REACH words off follow each other if at most GAP words of either side lie
+    between them; such a chain is a passage if both its sides have LEAST_WORDS words and are similar enough.
+    """
+    straight = repeated_passages(left, right)
+    found = [(a, b, a, alike) for a, b, alike in straight]
+    runs = sorted(r for d in range(-REACH, REACH + 1) for r in _runs(left, right, d))
+    chains: list[list[tuple[int, int, int]]] = []
+    for x, y, n in runs:
+        if chains:
+            at, to, size = chains[-1][-1]
+            late = max(0, at + size - x, to + size - y)
+            near = max(x + late - at - size, y + late - to - size) <= GAP
+            if near and n - late >= SHINGLE:
+                chains[-1].append((x + late, y + late, n - late))
+                continue
+            if x < at + size:  # beside the chain
+                continue
+        chains.append([(x, y, n)])
+    for chain in chains:
+        (a, c, _), (x, y, n) = chain[0], chain[-1]
+        b, d = x + n, y + n
+        if len(chain) == 1 or min(b - a, d - c) < LEAST_WORDS or any(p <= a and b <= q for p, q, _ in straight):
+            continue
+        alike = passage_similarity(left[a:b], right[c:d])
+        if alike >= SIMILARITY:
+            found = [f for f in found if not (a <= f[0] and f[1] <= b)] + [(a, b, c, alike)]
+    return found
+
+
 def gram_hashes(values: np.ndarray, size: int = LEAST_WORDS) -> np.ndarray:
     """A hash of each run of `size` values."""
     if len(values) < size:
@@ -236,9 +282,8 @@ def compared(aligned: DataFrame, stretches: DataFrame) -> DataFrame:
                     open_[max(0, at - r["low"] + PARAGRAPH - LEAST_WORDS) : at - r["low"] + 1] = True
                 if len(rest):
                     open_ &= empty[LEAST_WORDS:] == empty[:-LEAST_WORDS]
-                for a, b, alike in repeated_passages(left, right):
-                    first = r["low"] + a
-                    out.append((r["row"], first, b - a, r["other"], first + r["shift"], alike, None))
+                for a, b, c, alike in shifted_passages(left, right):
+                    out.append((r["row"], r["low"] + a, b - a, r["other"], r["low"] + r["shift"] + c, alike, None))
                     open_[a : b - LEAST_WORDS + 1] = False
                 at = np.flatnonzero(open_)
                 rows.append(np.full(len(at), r["row"], np.int64))

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 from messy import PASSAGE, empty, messy
 
 from ratingloom.llm.substring_dedup import (
-    LEAST_WORDS, NEIGHBOURS, PARAGRAPH, anchors, dedup_stage, repeated_passages, repeats, sliding_min, without,
+    LEAST_WORDS, NEIGHBOURS, PARAGRAPH, anchors, dedup_stage, repeated_passages, repeats, shifted_passages, sliding_min, without,
 )
 from ratingloom.llm.textbytes import find_words
 
@@ -83,6 +84,50 @@ def test_near_equal_passages(spark):
     assert rows[0].n_words == 90 and 0.8 <= rows[0].similarity < 1
 
 
+EDITS = {
+    "inserted": lambda w: [*w[:40], "extra", *w[40:]],
+    "left out": lambda w: [*w[:40], *w[41:]],
+    "three inserted": lambda w: [*w[:30], "x", "y", "z", *w[30:]],
+    "other": lambda w: [*w[:40], "other", *w[41:]],
+    "two others close by": lambda w: [*w[:38], "other", *w[39:42], "another", *w[43:]],
+}
+
+
+@pytest.mark.parametrize("edit", EDITS)
+def test_passages_with_an_edit_in_the_middle(spark, edit):
+    rng = random.Random(8)
+    docs, passages = [], {}
+    for i in range(0, 80, 2):
+        passages[i] = [f"p{rng.randrange(10**6)}" for _ in range(90)]
+        for k, words_ in enumerate((passages[i], EDITS[edit](passages[i]))):
+            own = [[f"q{rng.randrange(10**9)}" for _ in range(rng.randrange(10, 120))] for _ in range(2)]
+            docs.append((i + k, " ".join([*own[0], *words_, *own[1]])))
+    rows = repeats(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert all(r.doc_id // 2 == r.kept_doc_id // 2 for r in rows)
+    assert all(0.8 <= r.similarity <= 1 and r.n_words <= 100 for r in rows)
+    covered = {}
+    for r in rows:
+        covered.setdefault(r.doc_id // 2, set()).update(range(r.first_word, r.first_word + r.n_words))
+    whole = [n for n, c in covered.items() if len(c) >= 85]
+    assert len(covered) >= 39 and len(whole) >= 37, (len(covered), len(whole))  # lost only if no paragraph is equal
+
+
+def test_chains_keep_to_what_is_alike():
+    rng = np.random.default_rng(3)
+    row = rng.integers(1, 1 << 30, 200).astype("<u4")
+    cut = np.concatenate([row[:60], row[62:130], rng.integers(1, 1 << 30, 72).astype("<u4")])
+    found = shifted_passages(row, cut)
+    assert [(a, b, c) for a, b, c, _ in found] == [(0, 130, 0)] and 0.8 <= found[0][3] < 1
+    assert shifted_passages(row, row) == [(0, 200, 0, 1.0)]
+    assert shifted_passages(row, rng.integers(1, 1 << 30, 200).astype("<u4")) == []
+    # a shorter passage, or one with too many edits, is none
+    short = np.concatenate([row[:20], [7], row[20:44], rng.integers(1, 1 << 30, 155)]).astype("<u4")
+    assert shifted_passages(row, short) == []
+    many = row.copy()
+    many[::9] = 5
+    assert shifted_passages(row, many) == []
+
+
 def test_messy_rows(spark):
     docs = messy(spark)
     rows = repeats(docs).collect()
