@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.functions.text import parse_price
 from ratingloom.functions.vectors import norm, sigmoid
 from ratingloom.operators.ordered import top_per_key
 from ratingloom.operators.similarity import SCORE_DIGITS
@@ -127,6 +128,26 @@ def recent_purchases(history: DataFrame, metadata: DataFrame, shown: int = RECEN
     })
 
 
+def candidate_features(candidates: DataFrame, metadata: DataFrame, stats: DataFrame, stat_columns: Sequence[str]) -> DataFrame:
+    """What a ranking model is given for each candidate: the row itself, the item's category, its categories as one
+    text, its price as a number and its newest statistics; missing numbers are 0, missing texts empty.
+
+    `metadata` has item_id, main_category, categories and price; `stats` has item_id, ts_ms and the statistics as of
+    several times. A candidate that neither knows is dropped. Both are cut to one row per item before the join.
+    """
+    newest = stats.groupBy("item_id").agg(F.max_by(F.struct(*stat_columns), "ts_ms").alias("__stats"))
+    known = metadata.select("item_id", "main_category", "categories", "price").join(newest, "item_id", "full")
+    price = F.coalesce(parse_price(F.col("price")), F.lit(0.0))
+    numbers = [F.coalesce(F.col(f"__stats.{c}").cast("double"), F.lit(0.0)).alias(c) for c in stat_columns]
+    return candidates.join(known, "item_id").select(
+        *candidates.columns,
+        F.coalesce("main_category", F.lit("")).alias("main_category"),
+        F.coalesce(F.array_join("categories", "__"), F.lit("")).alias("categories"),
+        price.alias("price"),
+        *numbers,
+    )
+
+
 def candidate_rows(
     users: DataFrame, similar: DataFrame, popular_ids: Sequence, cap: int = MAX_CANDIDATES
 ) -> DataFrame:

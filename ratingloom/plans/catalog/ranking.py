@@ -10,6 +10,7 @@ from ratingloom.operators.models import batch_score, cross_scores, mean_vectors
 from ratingloom.plans import feature_job
 from ratingloom.plans.catalog.base import joined, query, rounded, scratch
 from ratingloom.plans.catalog.statistics import POPULARITY_SQL
+from ratingloom.plans.catalog.windows import ITEM_STATS, item_stats
 from ratingloom.session import durable
 from ratingloom.sources import files, views
 
@@ -219,6 +220,23 @@ def t6_rank_candidates(spark, folder):
     return best.drop("position").withColumn("score", rounded("score"))
 
 
+@query(
+    "t6_candidate_features",
+    f"""SELECT c.user_id, c.item_id, c.position, coalesce(i.main_category, '') AS main_category,
+       coalesce(array_to_string(i.categories, '__'), '') AS categories, coalesce(CAST(replace(i.price, '$', '') AS DOUBLE), 0) AS price,
+       {', '.join(f'round(coalesce(CAST(s.{c} AS DOUBLE), 0), 6) AS {c}' for c in feature_job.ITEM_STAT_COLUMNS)}
+       FROM (SELECT user_id, item_id, CAST(position - 1 AS INTEGER) AS position FROM candidates) c LEFT JOIN items i USING (item_id)
+       LEFT JOIN (SELECT * FROM item_stats QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY ts_ms DESC) = 1) s USING (item_id)
+       WHERE i.item_id IS NOT NULL OR s.item_id IS NOT NULL""",
+    {**ITEM_STATS, **CANDIDATES},
+)
+def t6_candidate_features(spark, folder):
+    """The model's input for every candidate: category, price and newest statistics of the item."""
+    rows = candidates(spark, folder).drop("last_item")
+    found = ranking.candidate_features(rows, views.items(spark, folder), item_stats(spark, folder), feature_job.ITEM_STAT_COLUMNS)
+    return found.withColumns({c: rounded(c) for c in feature_job.ITEM_STAT_COLUMNS})
+
+
 def allowed_items(spark, folder):
     """Vectors of the items of type ECONOMY."""
     vectors = views.vectors(spark, folder)
