@@ -31,24 +31,15 @@ def _rule_table(spark: SparkSession, chosen: list[Rule]) -> DataFrame:
     return spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
 
 
-def _starts_and_widths(text: Column, pattern: Column) -> Column:
-    """Every match as (first word, words). The text between matches gives the places: it is split at the matches,
-    and the blanks of all earlier parts are counted."""
+def _pieces(text: Column, pattern: Column) -> Column:
+    """(skipped, width) of every match: blanks between the match before it and its own first one, and its words. The
+    text is split at the matches."""
     blanks = lambda part: F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    steps = F.arrays_zip(F.split(text, pattern).alias("gap"), matches.alias("match"))
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<struct<first:int,width:int>>").alias("found")
-    )
-
-    def step(state: Column, part: Column) -> Column:
-        at = state["at"] + blanks(part["gap"])
-        width = blanks(part["match"]) + 1
-        hit = F.struct((at - 1).cast("int").alias("first"), width.cast("int").alias("width"))
-        return F.struct((at + width - 1).cast("int").alias("at"), F.concat(state["found"], F.array(hit)).alias("found"))
-
+    steps = F.arrays_zip(F.split(text, pattern).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
     inner = F.filter(steps, lambda part: part["match"].isNotNull())
-    return F.aggregate(inner, start, step, lambda state: state["found"])
+    return F.transform(
+        inner, lambda part: F.struct(blanks(part["gap"]).alias("skipped"), (blanks(part["match"]) + 1).alias("width"))
+    )
 
 
 def detections(texts: DataFrame, chosen: list[Rule] | None = None) -> DataFrame:
@@ -58,14 +49,15 @@ def detections(texts: DataFrame, chosen: list[Rule] | None = None) -> DataFrame:
     """
     table = _rule_table(texts.sparkSession, chosen or rules())
     gated = texts.select("row", "words_text", F.explode("keywords").alias("keyword")).join(F.broadcast(table), "keyword")
+    named = ("row", "rule", "label", "priority", "confidence", "base")
     hits = gated.where(F.regexp_like("words_text", F.col("pattern"))).select(
-        "row", "rule", "label", "priority", "confidence", "base",
-        F.explode(_starts_and_widths(F.col("words_text"), F.col("pattern"))).alias("hit"),
-    )
-    return hits.select(
-        "row", "rule", "label", "priority", "confidence", "base",
-        F.col("hit.first").alias("first"), (F.col("hit.first") + F.col("hit.width") - 1).alias("last"),
-    )
+        *named, F.posexplode(_pieces(F.col("words_text"), F.col("pattern"))).alias("nth", "piece")
+    )
+    # the blanks of all earlier parts are summed in one sorted pass, so a text of many matches stays linear
+    earlier = Window.partitionBy("row", "rule").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.col("piece.skipped") + F.col("piece.width") - 1).over(earlier), F.lit(0))
+    first = (before + F.col("piece.skipped") - 1).cast("int")
+    return hits.select(*named, first.alias("first"), (first + F.col("piece.width") - 1).cast("int").alias("last"))
 
 
 def mark_suppressed(found: DataFrame) -> DataFrame:

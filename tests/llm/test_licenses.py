@@ -130,3 +130,17 @@ def test_own_rules(spark):
 
 def test_empty_table(spark):
     assert scan(empty(spark)).count() == 0
+
+
+def test_many_matches_in_one_text_take_linear_time(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "apache license and " * n)], "doc_id long, text string")
+        began = time.perf_counter()
+        row = scan(docs).first()
+        assert row.n_base == n and row.first_word == 0 and row.last_word == 3 * (n - 1)
+        return time.perf_counter() - began
+
+    seconds(10)
+    assert seconds(32_000) < seconds(2_000) + 8
