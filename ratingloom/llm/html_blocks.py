@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from dataclasses import dataclass, field
@@ -28,13 +29,28 @@ SCOPE = frozenset("html body div section article main ul ol dl table td th block
 
 BOILER_TAGS = frozenset("nav footer aside form dialog menu button select svg object canvas search head".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar note".split())
-#: Words of a class or id that mark what is not the article, and those that a layout container may bear as well.
+#: Words that mark what is not the article if a class or id has nothing but them and PLAIN_WORDS.
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promoted "
-    "promotion comment comments commentlist disqus respond reply replies cookie cookies consent gdpr notice notices "
+    "promotion comment comments commentlist disqus respond replies cookie cookies consent gdpr notice notices "
     "notification alert popup modal overlay lightbox newsletter subscribe subscription signup login share sharing "
-    "social related recommended recommendations pager pagination breadcrumb breadcrumbs copyright disclaimer "
-    "skip hidden paywall feedback rating ratings poll tooltip footer foot".split()
+    "related recommended recommendations pager pagination breadcrumb breadcrumbs copyright hidden paywall footer foot".split()
+)
+#: Of these, words that no part of an article is named by: one of them is enough.
+SURE_WORDS = frozenset(
+    "advertisement advertising adsense adslot sponsored disqus gdpr newsletter commentlist comments lightbox breadcrumb "
+    "breadcrumbs pagination pager signup paywall subscribe subscription consent".split()
+)
+#: Words that may as well name a part of the article: it goes only if it is mostly links.
+DOUBTFUL_WORDS = BOILER_WORDS | frozenset("social reply disclaimer skip feedback rating ratings poll tooltip".split())
+#: Words that say nothing about what is inside.
+PLAIN_WORDS = frozenset(
+    "a and area article articles bar block blocks body bottom box button buttons buy by center click close col column "
+    "container content count counter element entry field footer for form frame group head header heading holder icon icons "
+    "image img inline inner item items js label latest layer left link links list lists main media message meta mobile more "
+    "network networks of on our out outer page panel policy popular post posts primary read reader readers reply right row "
+    "secondary section settings single site slot small story stories sub tag tags text this thread title tool tools top "
+    "unit us user users view widget widgets wrap wrapper x your zone".split()
 )
 LAYOUT_WORDS = frozenset("nav navbar navigation menu sidebar side rail aside widget widgets header masthead topbar toolbar search".split())
 CONTENT_WORDS = frozenset("content article post entry story main body text".split())
@@ -69,18 +85,56 @@ def is_boiler(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if tag in ("article", "main"):
         return False
-    words = set(words_of(attrs.get("class", "") + " " + attrs.get("id", "")))
-    return bool(words & BOILER_WORDS) or bool(words & LAYOUT_WORDS and not words & CONTENT_WORDS)
+    names = [set(words_of(n)) for n in attrs.get("class", "").split() + [attrs.get("id", "")]]
+    for words in names:
+        # short words are prefixes of a style sheet
+        unknown = {w for w in words - BOILER_WORDS - PLAIN_WORDS - LAYOUT_WORDS if len(w) > 3}
+        if words & SURE_WORDS or words & BOILER_WORDS and not unknown:
+            return True
+    words = set().union(*names)
+    return bool(words & LAYOUT_WORDS and not words & CONTENT_WORDS)
+
+
+def is_doubtful(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether a word of a class or id may, or may not, mark what is not the article."""
+    if tag in ("html", "body", "article", "main"):
+        return False
+    return bool(set(words_of(attrs.get("class", "") + " " + attrs.get("id", ""))) & DOUBTFUL_WORDS)
 
 
 @dataclass
 class Container:
-    path: str
+    part: str  # tag and classes
+    above: Container | None
     parent: int  # index, -1 for the root
     tag: str
     content_words: bool
+    named: object = None  # running digest of the path
     score: float = 0.0
 
+    def __post_init__(self) -> None:
+        self.named = hashlib.blake2b(digest_size=16) if self.above is None else self.above.named.copy()
+        if self.above is not None:
+            self.named.update(f"/{self.part}".encode())
+
+    @property
+    def path(self) -> str:
+        """Parts from the root on; spelled out only when asked for, as deep pages would repeat them."""
+        parts, at = [], self
+        while at.above is not None:
+            parts.append(at.part)
+            at = at.above
+        return "".join(f"/{p}" for p in reversed(parts))
+
+    @property
+    def key(self) -> bytes:
+        return self.named.digest()
+
+
+def path_key(path: str) -> bytes:
+    """The key of the containers of that path."""
+    return hashlib.blake2b(path.encode(), digest_size=16).digest()
+
 
 @dataclass
 class Page:
@@ -95,12 +149,15 @@ class _Open:
     boiler: bool
     link: bool
     heading: bool  # inside a heading
+    doubtful: int  # number of the outermost doubtful part, -1 for none
 
 
 def read_page(source: str) -> Page:
     """Blocks in page order, without those of menus, forms, scripts and the like."""
-    page = Page([Container("", -1, "", False)])
-    stack = [_Open("", 0, False, False, False)]
+    page = Page([Container("", None, -1, "", False)])
+    stack = [_Open("", 0, False, False, False, -1)]
+    parts: list[int] = []  # the doubtful part of each block
+    doubtful_parts = 0
     text: list[str] = []
     linked = 0
 
@@ -110,6 +167,7 @@ def read_page(source: str) -> Page:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
                 page.blocks.append((stack[-1].container, joined, min(linked, len(joined))))
+                parts.append(stack[-1].doubtful)
             text.clear()
         linked = 0
 
@@ -175,14 +233,24 @@ def read_page(source: str) -> Page:
         container = top.container
         if tag in CONTAINERS and tag != "header":
             words = set(words_of(attrs.get("class", "") + " " + attrs.get("id", "")))
-            path = f"{page.containers[container].path}/{general(tag, attrs)}"
-            page.containers.append(Container(path, container, tag, bool(words & CONTENT_WORDS)))
+            above = page.containers[container]
+            page.containers.append(Container(general(tag, attrs), above, container, tag, bool(words & CONTENT_WORDS)))
             container = len(page.containers) - 1
-        stack.append(_Open(tag, container, boiler, top.link or tag == "a", heading))
+        doubtful = top.doubtful
+        if doubtful < 0 and attrs and not boiler and is_doubtful(tag, attrs):
+            doubtful, doubtful_parts = doubtful_parts, doubtful_parts + 1
+        stack.append(_Open(tag, container, boiler, top.link or tag == "a", heading, doubtful))
         if match[3] and match[3].endswith("/") and tag in ("svg",):
             stack.pop()
     add(source[at:])
     end_block()
+    # a doubtful part goes if at least half of it is links
+    size, links = [0] * doubtful_parts, [0] * doubtful_parts
+    for (_, joined, linked_), part in zip(page.blocks, parts):
+        if part >= 0:
+            size[part] += len(joined)
+            links[part] += linked_
+    page.blocks = [b for b, part in zip(page.blocks, parts) if part < 0 or 2 * links[part] < size[part]]
     return page
 
 

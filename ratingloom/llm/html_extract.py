@@ -16,12 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratingloom.llm.html_blocks import Page, read_page, score_containers, text_inside
+from ratingloom.llm.html_blocks import Page, path_key, read_page, score_containers, text_inside
 from ratingloom.llm.registry import load, query
 from ratingloom.session import durable
 
 WINNERS = 3  # paths that a host's pages are read by
-LEAST_SHARE = 0.25  # a winning path must hold this share of what the page's own best container holds
+LEAST_VOTES = 0.05  # of a host's pages, for all winners but the first
 
 
 def host_of(url) -> F.Column:
@@ -51,26 +51,34 @@ def page_votes(pages: DataFrame) -> DataFrame:
 
 
 def winning_paths(votes: DataFrame, winners: int = WINNERS) -> DataFrame:
-    """(host, paths): a host's paths by falling number of votes, then text, then name."""
+    """(host, paths): a host's paths by falling number of votes, then text, then name. But for the first, a path needs
+    the votes of two pages and of LEAST_VOTES of all."""
     counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum(F.floor("score")).alias("score"))
     order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")
-    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= winners)
-    return ranked.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path")))["path"].alias("paths"))
+    all_votes = votes.groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= winners).join(all_votes, "host")
+    backed = (F.col("rank") == 1) | ((F.col("votes") > 1) & (F.col("votes") >= LEAST_VOTES * F.col("all")))
+    kept = ranked.where(backed).groupBy("host").agg(F.array_sort(F.collect_list(F.struct("rank", "path")))["path"].alias("paths"))
+    return kept
 
 
 def main_text(page: Page, paths: list[str]) -> str:
-    """Text inside the first winning path that holds enough of the page, else inside the page's own best."""
+    """Text inside the page's own best container if that is of a winning path, else inside the winning path that the
+    page scores best; on a page that has none of them, inside its own best."""
     best = score_containers(page)
     if best < 0:
         return ""
-    own = text_inside(page, {best})
-    for path in paths:
-        chosen = {i for i, c in enumerate(page.containers) if c.path == path}
-        if chosen:
-            text = text_inside(page, chosen)
-            if len(text) >= LEAST_SHARE * len(own):
-                return text
-    return own
+    keys = [c.key for c in page.containers]
+    scores = {path_key(path): 0.0 for path in paths}
+    if keys[best] not in scores:
+        for key, container in zip(keys, page.containers):
+            if key in scores:
+                scores[key] += container.score
+        path, score = max(scores.items(), key=lambda s: s[1], default=(b"", 0.0))
+        if score > 0:
+            return text_inside(page, {i for i, key in enumerate(keys) if key == path})
+        return text_inside(page, {best})
+    return text_inside(page, {i for i, key in enumerate(keys) if key == keys[best]})
 
 
 def extract(pages: DataFrame, winners: int = WINNERS) -> DataFrame:

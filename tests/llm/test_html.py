@@ -4,7 +4,7 @@ import re
 import pytest
 from conftest import DATA
 
-from ratingloom.llm.html_blocks import read_page, score_containers
+from ratingloom.llm.html_blocks import path_key, read_page, score_containers
 from ratingloom.llm.html_extract import extract, host_of, main_text, winning_paths
 
 ARTICLE = "<h1>Title &amp; more</h1><p>First  paragraph,\nof some length, as they are.</p><p>Second <b>par</b>agraph with <a href='x'>a link</a>.</p>"
@@ -90,3 +90,48 @@ def test_hosts_and_votes(spark):
 def test_scores_prefer_the_article():
     p = read_page(PAGES["classes"])
     assert p.containers[score_containers(p)].path.endswith("div.post-content")
+
+
+@pytest.mark.parametrize(
+    "name", ["related-work", "skip-list", "poll", "disclaimer", "rating-note", "social", "share-price", "alert-levels", "cookie-recipes"]
+)
+def test_a_word_of_a_class_does_not_drop_article_text(name):
+    body = f"<article>{ARTICLE}<div class='{name}'><p>This part is text of the article, with <a href='x'>one link</a> in it.</p></div></article>"
+    assert main_text(read_page(page(body)), []) == WANT + " This part is text of the article, with one link in it."
+
+
+@pytest.mark.parametrize("name", ["related-posts", "share-buttons", "social", "comment-list", "newsletter-signup", "cookieNotice", "adSlot", "poll-links", "wp-block-latest-comments", "fb-share", "onetrust-consent-sdk"])
+def test_known_names_and_lists_of_links_go(name):
+    body = f"<article>{ARTICLE}<div class='{name}'><a href='a'>Something else to read</a> <a href='b'>And more</a></div></article>"
+    assert main_text(read_page(page(body)), []) == WANT
+
+
+def test_deeply_nested_pages_stay_small():
+    import tracemalloc
+
+    source = "<div class='wrap'>" * 50_000 + "<p>deep text</p>"
+    tracemalloc.start()
+    found = main_text(read_page(source), ["/div.wrap"])
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    tracemalloc.stop()
+    assert found == "deep text"
+
+
+def test_keys_are_those_of_the_paths():
+    found = read_page(PAGES["classes"])
+    assert all(c.key == path_key(c.path) for c in found.containers)
+
+
+def test_a_host_with_two_templates(spark):
+    """Pages of the second template also have the container that the first one keeps its article in, as a teaser."""
+
+    def first(i):
+        return page(f"<div class='lead'><p>{f'first template {i} ' * 40}</p></div>")
+
+    def second(i):
+        return page(f"<div class='lead'><p>{'a teaser ' * 20}</p></div><div class='piece'><p>{f'second template {i} ' * 40}</p></div>")
+
+    rows = [(i, "http://t.example/x", first(i)) for i in range(9)] + [(100 + i, "http://t.example/x", second(i)) for i in range(4)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == " ".join([f"first template {i}"] * 40) for i in range(9))
+    assert all(got[100 + i] == " ".join([f"second template {i}"] * 40) for i in range(4))
