@@ -3,8 +3,9 @@
 Coarse centres are learned by k-means, each round one pass over a bounded sample in which every task sums its own
 rows first. All vectors are then stored by the list of their centre. A query looks into the lists whose centres score
 highest and scores their vectors exactly; how many lists that takes for a wished recall is measured on a bounded
-sample of queries. A vector is shuffled once when the index is built and once per search, a query once per list it
-looks into, so the work per query is that of its lists and nothing is copied to all tiles.
+sample of queries. A vector is shuffled once when the index is built and once per search and slice of the queries. Lists
+lie side by side in cells of bounded size; a query is shuffled once per cell that holds any of its lists, with the bits of
+these, so the work per query is that of its lists and what is shuffled does not grow with their number.
 
 Inner products of vectors of unequal length are turned into angles: with one more component, sqrt(M^2 - |x|^2) for the
 longest vector M, all stored vectors have the same length and the best inner product is the smallest angle.
@@ -21,14 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.operators.ordered import top_per_key
-from ratingloom.operators.similarity import _best_in_tile, best_pairs
+from ratingloom.operators.similarity import ITEM_BLOCK, QUERY_BLOCK, _best_in_tile, best_pairs, blocks_of
 from ratingloom.session import durable
 
 MOST_LISTS = 16_384  # so centres and list sizes stay small enough for every task
 SAMPLE_PER_LIST = 64  # rows that centres are learned from
 ROUNDS = 8
-PART_ROWS = 32_768  # vectors of a list scored by one task
-QUERY_ROWS = 65_536  # queries of a list scored by one task
+PART_ROWS = 32_768  # vectors of a list in one part
+CELL_ROWS = ITEM_BLOCK  # vectors scored by one task, or those of one part
+QUERY_ROWS = QUERY_BLOCK  # queries of a cell scored by one task
 CALIBRATION = 512  # queries that the number of lists to look into is measured on
 RECALL = 0.95
 
@@ -137,9 +139,28 @@ def build_index(vectors: DataFrame, lists: int | None = None) -> VectorIndex:
     return VectorIndex(centres, durable(table.repartition("list", "part")), sizes, id_type)
 
 
-def _probed(index: VectorIndex, queries: DataFrame, probes: int) -> DataFrame:
-    """(id, vector, list): every query with the lists it looks into."""
+def _cells(index: VectorIndex) -> list[tuple[int, int, int]]:
+    """(list, part, cell): the parts of all lists in order, put into cells of about CELL_ROWS vectors."""
+    counted = index.table.groupBy("list", "part").agg(F.count(F.lit(1)).alias("n")).orderBy("list", "part")
+    parts = [tuple(r) for r in counted.collect()]  # as many as lists, and one per PART_ROWS vectors
+    rows = sum(n for *_, n in parts)
+    size = -(-rows // blocks_of(rows, CELL_ROWS, index.table.sparkSession)) if rows else 1
+    found, cell, filled = [], 0, 0
+    for number, part, n in parts:
+        if filled and filled + n > size:
+            cell, filled = cell + 1, 0
+        filled += n
+        found.append((number, part, cell))
+    return found
+
+
+def _probed(index: VectorIndex, queries: DataFrame, probes: int, cells: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """(id, vector, cell, lists): every query with the cells it looks into, and in each the bits of its lists, from the
+    first list of the cell on. Without `cells` every list is one."""
     shared = queries.sparkSession.sparkContext.broadcast(index.centres[:, :-1])
+    spans: dict[int, tuple[int, int]] = {}
+    for number, _, cell in cells if cells is not None else [(n, 0, n) for n in range(index.lists())]:
+        spans[cell] = (spans.get(cell, (number,))[0], number + 1)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres = shared.value
@@ -148,41 +169,61 @@ def _probed(index: VectorIndex, queries: DataFrame, probes: int) -> DataFrame:
         for batch in batches:
             rows = _rows(batch.column(1))
             for at in range(0, len(rows), strip):
-                score = -(rows[at : at + strip] @ centres.T)
-                best = np.argsort(score, axis=1, kind="stable")[:, :width]
-                whose = pa.array(np.repeat(np.arange(at, at + len(best)), width))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(whose), batch.column(1).take(whose), pa.array(best.ravel().astype(np.int32))],
-                    names=["id", "vector", "list"],
-                )
+                some = rows[at : at + strip]
+                asked = np.ones((len(some), len(centres)), bool)
+                if width < len(centres):
+                    best = np.argsort(-(some @ centres.T), axis=1, kind="stable")[:, :width]
+                    asked[:] = False
+                    np.put_along_axis(asked, best, True, axis=1)
+                for cell, (low, high) in spans.items():
+                    whose = np.flatnonzero(asked[:, low:high].any(axis=1))
+                    if not len(whose):
+                        continue
+                    bits = np.packbits(asked[whose, low:high], axis=1)
+                    taken = pa.array(whose + at)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(taken), batch.column(1).take(taken),
+                            pa.array(np.full(len(whose), cell, np.int32)), pa.array([b.tobytes() for b in bits], pa.binary()),
+                        ],
+                        names=["id", "vector", "cell", "lists"],
+                    )
 
     kind = queries.schema["id"].dataType.simpleString()
-    return queries.select("id", "vector").mapInArrow(look, f"id {kind}, vector array<double>, list int")
+    return queries.select("id", "vector").mapInArrow(look, f"id {kind}, vector array<double>, cell int, lists binary")
 
 
 def search(index: VectorIndex, queries: DataFrame, k: int, probes: int, skip_same: bool = False) -> DataFrame:
     """Per query (id, vector) the k best vectors of the `probes` lists it looks into: query_id, item_id, score,
     raw_score, rank. Scores are exact; with as many probes as lists the result is, too.
 
-    Every (list, part) is scored by one task per QUERY_ROWS queries that look into it.
+    Every cell is scored by one task per QUERY_ROWS queries that look into it.
     """
     if not index.lists():
         return best_pairs(queries, index.table.select("id", "vector"), k, skip_same)
-    asked = durable(_probed(index, queries, probes))
-    slices = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("slices"))
-    shape = durable(index.sizes.join(slices, "list"))  # MOST_LISTS rows at most
+    spark = index.table.sparkSession
+    cells = _cells(index)
+    first: dict[int, int] = {}
+    for number, _, cell in cells:
+        first.setdefault(cell, number)
+    counted = _probed(index, queries, probes, cells).groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    slices = {r["cell"]: blocks_of(r["n"], QUERY_ROWS, spark) for r in counted}  # one row per cell
+    sliced = spark.createDataFrame([(c, n) for c, n in slices.items()], "cell int, slices int")
+    home = spark.createDataFrame(
+        [(number, part, cell, number - first[cell], slices[cell]) for number, part, cell in cells if cell in slices],
+        "list int, part int, cell int, place int, slices int",
+    )
     which = F.pmod(F.xxhash64("id", F.lit(7)), F.col("slices")).cast("int")
-    left = asked.join(F.broadcast(shape), "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), which.alias("slice"), "id", "vector",
-        F.lit(True).alias("is_query"),
+    nothing = F.lit(None)
+    left = _probed(index, queries, probes, cells).join(F.broadcast(sliced), "cell").select(
+        "cell", which.alias("slice"), "id", "vector", F.lit(True).alias("is_query"), nothing.cast("int").alias("list"), "lists"
     )
-    right = index.table.join(F.broadcast(shape), "list").select(
-        "list", "part", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "id", "vector",
-        F.lit(False).alias("is_query"),
+    right = index.table.join(F.broadcast(home), ["list", "part"]).select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "id", "vector",
+        F.lit(False).alias("is_query"), F.col("place").alias("list"), nothing.cast("binary").alias("lists"),
     )
-    tiles = left.unionByName(right).groupBy("list", "part", "slice")
     schema = f"query_id {index.id_type}, item_id {index.id_type}, score double, raw_score double"
-    local = tiles.applyInArrow(_best_in_tile(k, skip_same), schema)
+    local = left.unionByName(right).groupBy("cell", "slice").applyInArrow(_best_in_tile(k, skip_same), schema)
     return top_per_key(local, ["query_id"], [F.desc("score"), F.asc("item_id")], k, rank="rank")
 
 

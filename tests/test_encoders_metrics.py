@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +183,44 @@ def test_weighted_bce(spark):
     df = spark.createDataFrame([(1, 0.8), (0, 0.0), (0, 1.0)], "y int, p double")
     loss = stats.weighted_bce(df, "y", "p", 2.0).first()["loss"]
     assert math.isclose(loss, (-2 * math.log(0.8) + 0 + 100) / 3)
+
+
+def _brute(left, right, order, k, own, allowed):
+    scores = np.round(left @ right.T, 9)
+    scores[~allowed] = -np.inf
+    scores[np.flatnonzero(own >= 0), own[own >= 0]] = -np.inf
+    best = (np.lexsort((order, -row))[:k] for row in scores)
+    return [(q, int(c)) for q, some in enumerate(best) for c in some if np.isfinite(scores[q, c])]
+
+
+@pytest.mark.parametrize("case", ["plain", "copies", "all equal", "long", "whole numbers", "gap"])
+@pytest.mark.parametrize("share", [0.05, 0.6, 1.0])
+def test_best_rows_are_those_of_double_precision(case, share):
+    rng = np.random.default_rng(7)
+    left, right = rng.normal(size=(600, 12)), rng.normal(size=(9_000, 12))
+    if case == "copies":
+        right[rng.random(9_000) < 0.5] = right[0]
+    if case == "all equal":
+        left[:], right[:] = left[0], right[0]
+    if case == "long":
+        left, right = left * 1e20, right * 1e-12
+    if case == "whole numbers":
+        left, right = np.round(left), np.round(right)
+    if case == "gap":
+        right[5], left[3] = np.nan, np.inf
+    order, own = rng.permutation(9_000), rng.integers(-1, 9_000, 600)
+    starts = np.sort(np.append(rng.integers(0, 9_000, 30), [0, 9_000]))
+    asked = rng.random((600, 31)) < share
+    with np.errstate(invalid="ignore"):
+        wanted = _brute(left, right, order, 11, own, np.isfinite(left @ right.T) & np.repeat(asked, np.diff(starts), axis=1))
+        got = [(int(r), int(c)) for rows, columns, *_ in similarity.best_rows(left, right, order, 11, own, starts, asked)
+               for r, c in zip(rows, columns)]
+    assert got == wanted
+
+
+def test_a_tile_hands_its_rows_on_strip_by_strip():
+    """What leaves a tile is never held whole: no batch has more than a strip's rows."""
+    vectors = np.random.default_rng(3).normal(size=(1_000, 4))
+    tile = pa.table({"id": list(range(1_000)) * 2, "is_query": [True] * 1_000 + [False] * 1_000, "vector": list(vectors) * 2})
+    sizes = [b.num_rows for b in similarity._best_in_tile(10, True)(iter(tile.to_batches()))]
+    assert sum(sizes) == 10_000 and max(sizes) <= 10 * similarity.STRIP

@@ -70,3 +70,30 @@ def test_no_vector_goes_to_all_tiles(spark):
     assert index.table.count() == 500
     assert index.table.select("id").distinct().count() == 500
     assert vector_index._probed(index, items, 3).count() == 1500
+
+
+def test_a_query_goes_once_to_a_cell_whatever_the_lists(spark):
+    """All lists are looked into, and still a query is shuffled once per cell, not once per list."""
+    items = frame(spark, clustered(5, 1200))
+    index = build_index(items, lists=30)
+    cells = vector_index._cells(index)
+    assert len({(number, part) for number, part, _ in cells}) == len(cells) >= 30
+    some = len({cell for *_, cell in cells})
+    assert some < 10
+    assert vector_index._probed(index, items, index.lists(), cells).count() == 1200 * some
+
+
+@pytest.mark.parametrize("probes", [2, 9, 20])
+def test_only_the_asked_lists_are_looked_into(spark, probes):
+    rows, asking = clustered(6, 1500), clustered(6, 200) + 0.1
+    index = build_index(frame(spark, rows), lists=24)
+    found = {}
+    for r in search(index, frame(spark, asking), 6, probes).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.item_id))
+    home = {r.id: r["list"] for r in index.table.select("id", "list").collect()}
+    lists = np.array([home[i] for i in range(len(rows))])
+    for q, vector in enumerate(asking):
+        near = np.argsort(-(index.centres[:, :-1] @ vector), kind="stable")[:probes]
+        allowed = np.flatnonzero(np.isin(lists, near))
+        best = allowed[np.lexsort((allowed, -np.round(rows[allowed] @ vector, 9)))][:6]
+        assert sorted(found.get(q, [])) == [(i + 1, int(b)) for i, b in enumerate(best)]
