@@ -153,4 +153,5 @@ def shuffle_rows(df: DataFrame, seed: int, identity: Sequence[str]) -> DataFrame
     needed; rows lie in random partitions and in random order inside each.
     """
     key = keyed_hash(seed, *[F.col(c) for c in identity])
-    return df.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    # the key is taken again behind the shuffle, which needn't carry it
+    return df.repartition(key).withColumn("shuffle_key", key).sortWithinPartitions("shuffle_key")

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.operators.asof import asof_join
+from ratingloom.operators.asof import asof_attach
 from ratingloom.operators.clean import require_clean_keys, shuffle_rows
-from ratingloom.operators.joins import attach_features, many_to_one
+from ratingloom.operators.joins import many_to_one
 from ratingloom.operators.ordered import first_per_key
 from ratingloom.operators.sampling import negative_samples
 from ratingloom.plans.feature_job import ITEM_STAT_COLUMNS
@@ -34,21 +34,22 @@ def training_table(
     `positives`: user_id, item_id, rating, ts_ms and `user_columns`, which negatives copy. Negatives have
     rating 0 and the positive's time. `item_stats` is unique in (item_id, ts_ms).
     """
-    columns = ["user_id", "item_id", "rating", "ts_ms", *user_columns]
+    columns = ["user_id", "item_id", "rating", "ts_ms"]
+    kept = durable(positives.select(*columns, *user_columns).withColumn("__positive", F.monotonically_increasing_id()))
+    # what negatives copy is put on at the end: draws and lookups carry its number alone
+    narrow = kept.select(*columns, "__positive")
     negatives = negative_samples(
-        positives, ["user_id", "item_id", "ts_ms"], carried=["ts_ms", *user_columns], ratio=ratio, seed=seed
+        narrow, ["user_id", "item_id", "ts_ms"], carried=["ts_ms", "__positive"], ratio=ratio, seed=seed
+    )
+    rows = durable(narrow.unionByName(negatives.select(*narrow.columns)))
+    found = asof_attach(rows, item_stats, "item_id", "ts_ms", list(stat_columns), ttl_days, counted=rows)
+    full = many_to_one(found, metadata, ["item_id"])
+    if user_columns:
+        full = full.join(kept.select("__positive", *user_columns), "__positive")
+    others = [c for c in metadata.columns if c != "item_id"]
+    return shuffle_rows(
+        full.select(*columns, *user_columns, *stat_columns, *others), seed, ["user_id", "item_id", "ts_ms", "rating"]
     )
-    # read twice below, and a draw is costlier than a read
-    rows = durable(positives.select(*columns).unionByName(negatives.select(*columns)))
-    # a positive has statistics of its own moment; only what is left needs the as-of lookup
-    own = item_stats.select("item_id", "ts_ms", *stat_columns, F.lit(True).alias("__own"))
-    tried = durable(attach_features(rows, own, ["item_id", "ts_ms"]))
-    found = tried.where("__own").drop("__own")
-    rest = tried.where("__own IS NULL").select(*columns)
-    looked_up = asof_join(rest, item_stats, "item_id", "ts_ms", "ts_ms", list(stat_columns), ttl_days, counted=rest)
-    late = attach_features(rest, looked_up.drop("matched_at"), ["item_id", "ts_ms"])
-    full = many_to_one(found.unionByName(late), metadata, ["item_id"])
-    return shuffle_rows(full, seed, ["user_id", "item_id", "ts_ms", "rating"])
 
 
 def first_metadata(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
