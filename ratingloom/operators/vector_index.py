@@ -223,7 +223,8 @@ def search(index: VectorIndex, queries: DataFrame, k: int, probes: int, skip_sam
         F.lit(False).alias("is_query"), F.col("place").alias("list"), nothing.cast("binary").alias("lists"),
     )
     schema = f"query_id {index.id_type}, item_id {index.id_type}, score double, raw_score double"
-    local = left.unionByName(right).groupBy("cell", "slice").applyInArrow(_best_in_tile(k, skip_same), schema)
+    # kept, as the tiles are the costly part: at most k rows per query and cell
+    local = durable(left.unionByName(right).groupBy("cell", "slice").applyInArrow(_best_in_tile(k, skip_same), schema))
     return top_per_key(local, ["query_id"], [F.desc("score"), F.asc("item_id")], k, rank="rank")
 
 
