@@ -23,6 +23,7 @@ MAX_VOCABULARY = 20_000  # of the dense forms, which hold one number per categor
 # Text weighting of titles and descriptions.
 TEXT_MIN_DOCS = 5
 TEXT_MAX_TERMS = 1000
+TEXT_PARTS = 16  # into which a partition of texts is cut
 GAP = r"[^\p{L}\p{N}_]+"  # terms are the runs of at least two characters between gaps
 
 
@@ -217,33 +218,50 @@ def item_entries(df: DataFrame, fit: DataFrame, identity: str, stat_columns: Seq
     return entries.join(moments, "pos").select(identity, "pos", ((F.col("value") - F.col("__mean")) / F.col("__width")).alias("value"))
 
 
-def term_counts(documents: DataFrame, identity: str, text: str, min_docs: int = TEXT_MIN_DOCS) -> DataFrame:
-    """(identity, term, n): words of two or more letters and pairs of adjacent words, with their numbers, for terms
-    that can be in `min_docs` documents.
+def term_counts(documents: DataFrame, identity: str, text: str) -> DataFrame:
+    """(identity, term, n): words of two or more letters and pairs of adjacent words, with their numbers.
 
-    The text is taken apart once, into (document, position, word) rows. A pair is in enough documents only if both
-    its words are, so other words are dropped before pairs are made; places stay, so only neighbours meet.
+    Texts are shuffled once, to the task of their document, and taken apart there, so words and pairs are counted where
+    they are. Equal rows of a document count for its words each, for its pairs once.
     """
     # splitting at the gaps is several times cheaper than extracting every match
-    parts = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), GAP)
+    parts = F.split(F.lower(F.coalesce("__t", F.lit(""))), GAP)
     words = F.filter(parts, lambda w: F.length(w) >= 2)
-    tokens = durable(documents.select(identity, words.alias("__w")).select(identity, F.posexplode_outer("__w").alias("pos", "term")).where("term IS NOT NULL"))
-    single = durable(tokens.groupBy(identity, "term").agg(F.count(F.lit(1)).alias("n")))
-    common = single.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs).select("term")
-    common = durable(common)
-    left = tokens.join(common, "term", "left_semi")
-    order = Window.partitionBy(identity).orderBy("pos")
-    follows = F.lead("pos").over(order) == F.col("pos") + 1
-    pairs = left.select(identity, F.when(follows, F.concat_ws(" ", "term", F.lead("term").over(order))).alias("term"))
-    double = pairs.where("term IS NOT NULL").groupBy(identity, "term").agg(F.count(F.lit(1)).alias("n"))
-    return durable(single.join(common, "term", "left_semi").select(identity, "term", "n").unionByName(double))
+    # a task holds the terms of its part, several times its size
+    partitions = TEXT_PARTS * max(documents.rdd.getNumPartitions(), documents.sparkSession.sparkContext.defaultParallelism)
+    own = documents.select(identity, F.col(text).alias("__t")).repartition(partitions, identity).groupBy(identity, "__t")
+    rows = own.agg(F.count(F.lit(1)).alias("__copies")).select(identity, "__copies", words.alias("__w"))
+    behind = F.size("__w") - 1
+    pairs = F.when(behind > 0, F.zip_with(
+        F.slice("__w", 1, F.greatest(behind, F.lit(0))), F.slice("__w", 2, F.greatest(behind, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b)
+    )).otherwise(F.array().cast("array<string>"))
+    kinds = F.array(F.struct(F.col("__w").alias("terms"), F.col("__copies").alias("n")), F.struct(
+        pairs.alias("terms"), F.lit(1).cast("long").alias("n")
+    ))
+    each = rows.select(identity, F.inline(kinds)).select(identity, F.explode("terms").alias("term"), "n")
+    return durable(each.groupBy(identity, "term").agg(F.sum("n").alias("n")))
 
 
 def term_vocabulary(
     counts: DataFrame, n_docs: Column, min_docs: int = TEXT_MIN_DOCS, max_terms: int = TEXT_MAX_TERMS
 ) -> DataFrame:
-    """(term, df, idf): terms in enough documents, the most frequent ones only; ties in alphabetical order."""
-    found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
+    """(term, df, idf): terms in enough documents, the most frequent ones only; ties in alphabetical order.
+
+    A pair is not more frequent than either of its words. So words are counted first, and if there are enough of them,
+    pairs with a word that is rarer than all that would be kept are left out before they are shuffled.
+    """
+    pair = F.contains("term", F.lit(" "))
+    numbers = F.count(F.lit(1)).alias("df"), F.sum("n").alias("total")
+    words = durable(counts.where(~pair).groupBy("term").agg(*numbers))
+    best = words.where(F.col("df") >= min_docs).orderBy(F.desc("total")).limit(max_terms)
+    several, least = best.agg(F.count(F.lit(1)), F.min("total")).first()
+    pairs = counts.where(pair)
+    if several >= max_terms:
+        known = durable(words.where(F.col("total") >= least).select("term"))
+        for place in (1, 2):
+            word = F.split_part("term", F.lit(" "), F.lit(place))
+            pairs = pairs.withColumn("__word", word).join(known.withColumnRenamed("term", "__word"), "__word", "left_semi")
+    found = words.unionByName(pairs.groupBy("term").agg(*numbers))
     kept = found.where(F.col("df") >= min_docs).orderBy(F.desc("total"), "term").limit(max_terms)
     return kept.select("term", "df", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
 
