@@ -14,11 +14,15 @@ from ratingloom.sources.snapshot import read_snapshot, upsert_latest
 from ratingloom.streaming import drift, history, replay
 
 
+# Change records of a file: a file is one task, and decoding a record takes some ten microseconds.
+RECORDS_PER_FILE = 100_000
+
+
 def record_stream(spark, folder, slices: int = 4):
-    """The events as a stream of change records, in time order, one file per micro-batch."""
+    """The events as a stream of change records, in time order, one slice per micro-batch."""
     path = scratch(spark, "records")
     records = change_records(spark, folder)
-    files = replay.write_replay(records, path, slices=slices)
+    files = replay.write_replay(records, path, slices=slices, rows_per_file=RECORDS_PER_FILE)
     return replay.replay(spark, path, records.schema, files)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ratingloom.functions.times import HISTORY_LENGTH, bucket_sequence, iso_seconds, keep_last, padded_seconds_from_text
 from ratingloom.operators.ordered import top_per_key
+from ratingloom.session import durable
 from ratingloom.sources.changes import decode_changes
 from ratingloom.sources.keyed_state import CAPACITY, KeyedState
 
@@ -91,12 +92,12 @@ def start_history(
     """Run over all changes available now; every micro-batch updates the rows of its users in the keyed state.
 
     A batch reads the buckets of its own users as batches before it have left them, so one that is run again gives
-    the same rows.
+    the same rows. Its records are decoded once and kept; the steps of an update read what was decoded.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         state = history_state(batch.sparkSession, snapshot, capacity)
-        state.update(batch, batch_id, lambda events, known: with_sequences(advance(events, known)))
+        state.update(durable(batch), batch_id, lambda events, known: with_sequences(advance(events, known)))
         if batch_id % CLEAN_EVERY == CLEAN_EVERY - 1:
             state.clean()
 

@@ -4,8 +4,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ratingloom.plans.catalog import streams
 from ratingloom.sources import files
 from ratingloom.sources.changes import decode_changes
+from ratingloom.sources.keyed_state import KeyedState
 from ratingloom.sources.snapshot import compact_snapshot, read_snapshot, upsert_latest
 from ratingloom.streaming import drift, history
 
@@ -85,6 +87,38 @@ def test_history_stream_and_restart(spark, tmp_path):
     assert again["b"]["recent_items"] == "x"
 
 
+def test_records_of_a_batch_are_decoded_once(spark, tmp_path, monkeypatch):
+    """Each step of an update decoded the whole batch again."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "1.json").write_text("\n".join(json.dumps({"payload": record("a", f"i{n}", "2024-01-01T00:00:00.000Z")}) for n in range(5)))
+    plans = []
+
+    def update(self, batch, number, advance, keep=KeyedState.update):
+        plans.append(batch._jdf.queryExecution().optimizedPlan().toString())
+        return keep(self, batch, number, advance)
+
+    monkeypatch.setattr(KeyedState, "update", update)
+    stream = spark.readStream.schema("payload string").json(str(source))
+    history.start_history(stream, str(tmp_path / "snap"), str(tmp_path / "cp")).awaitTermination()
+    assert len(plans) == 1 and "payload" not in plans[0]
+    assert history.current_users(spark, str(tmp_path / "snap")).first()["n_events"] == 5
+
+
+def test_a_large_slice_of_records_has_several_files(spark, tmp_path, monkeypatch):
+    """One task decoded up to a million records."""
+    monkeypatch.setattr(streams, "RECORDS_PER_FILE", 10, raising=False)
+    rows = spark.range(200).selectExpr("id AS event_id", "id % 7 AS user_id", "'x' AS event_type", "1.0D AS value",
+        "'{\"k\": 5}' AS props", "CAST(timestamp_seconds(1700000000 + id) AS timestamp_ntz) AS ts")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    asked = []
+    monkeypatch.setattr(streams.replay, "replay", lambda *given: asked.append(given))
+    streams.record_stream(spark, str(tmp_path))
+    _, path, schema, files = asked[0]
+    written = spark.read.schema(schema).parquet(path)
+    assert files == 5 and written.count() == 200 and len(written.inputFiles()) == 4 * 5
+
+
 def test_append_likes(spark):
     base = spark.createDataFrame([("a", ["i1", "i2"], [100, 50])], "user_id string, items array<string>, seconds array<long>")
     likes = spark.createDataFrame([("a", f"l{n}", n) for n in range(9)] + [("b", "x", 1)], "user_id string, item_id string, position int")
