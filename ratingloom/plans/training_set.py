@@ -28,23 +28,33 @@ def training_table(
     seed: int = SEED,
     ttl_days: int = TTL_DAYS,
     stat_columns: Sequence[str] = tuple(ITEM_STAT_COLUMNS),
+    users: DataFrame | None = None,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Positives and their negatives with item metadata and item statistics as of the row's time, shuffled.
 
     `positives`: user_id, item_id, rating, ts_ms and `user_columns`, which negatives copy. Negatives have
-    rating 0 and the positive's time. `item_stats` is unique in (item_id, ts_ms).
+    rating 0 and the positive's time. `item_stats` is unique in (item_id, ts_ms). With `users` (user_id, ts_ms and
+    `user_columns`) these are looked up there for either kind of row, and positives, which are read several times,
+    don't hold them; every user and time of the positives must be there. Columns that are `required` must not be null.
     """
     columns = ["user_id", "item_id", "rating", "ts_ms"]
-    kept = durable(positives.select(*columns, *user_columns).withColumn("__positive", F.monotonically_increasing_id()))
+    own = [*columns, "__positive"] if user_columns and users is None else columns
+    if users is None:
+        kept = durable(positives.select(*columns, *user_columns).withColumn("__positive", F.monotonically_increasing_id()))
+    else:
+        kept = positives
     # what negatives copy is put on at the end: draws and lookups carry its number alone
-    narrow = kept.select(*columns, "__positive")
-    negatives = negative_samples(
-        narrow, ["user_id", "item_id", "ts_ms"], carried=["ts_ms", "__positive"], ratio=ratio, seed=seed
-    )
-    rows = durable(narrow.unionByName(negatives.select(*narrow.columns)))
+    narrow = kept.select(*own)
+    carried = [c for c in own if c in ("ts_ms", "__positive")]
+    negatives = negative_samples(narrow, ["user_id", "item_id", "ts_ms"], carried=carried, ratio=ratio, seed=seed)
+    # nothing wide is kept: what is put on later neither adds rows nor changes these columns
+    rows = checked(narrow.unionByName(negatives.select(*own)), required)
     found = asof_attach(rows, item_stats, "item_id", "ts_ms", list(stat_columns), ttl_days, counted=rows)
     full = many_to_one(found, metadata, ["item_id"])
-    if user_columns:
+    if users is not None:
+        full = full.join(users.select("user_id", "ts_ms", *user_columns), ["user_id", "ts_ms"])
+    elif user_columns:
         full = full.join(kept.select("__positive", *user_columns), "__positive")
     others = [c for c in metadata.columns if c != "item_id"]
     return shuffle_rows(
@@ -59,4 +69,5 @@ def first_metadata(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def checked(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table, computed once and kept, after making sure that no key is null."""
-    return require_clean_keys(durable(table), keys, unique=False)
+    kept = durable(table)
+    return require_clean_keys(kept, keys, unique=False) if keys else kept
