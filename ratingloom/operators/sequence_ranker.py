@@ -13,11 +13,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions.times import HISTORY_LENGTH, age_bucket
-from ratingloom.functions.vectors import dot, unit
+from ratingloom.functions.vectors import unit
+from ratingloom.operators.models import in_tiles
+from ratingloom.operators.skew import BROADCAST_CUTS
 from ratingloom.session import durable
 
 WIDTH = 1 << 18
@@ -37,28 +40,33 @@ def sparse_rows(rows: DataFrame, entries: DataFrame, vectors: DataFrame, keep: S
 
     `entries` (item_id, pos, value) describe items; `vectors` (item_id, vector) tell how alike two items are, unknown
     ones being like none. `hist` lists (item_id, event_ts), oldest first, of bounded length. Places count from the
-    newest one.
+    newest one. Rows that are numbered already, in __row, and kept are not written again.
     """
-    numbered = durable(rows.withColumn("__row", F.monotonically_increasing_id()))
+    numbered = rows if "__row" in rows.columns else durable(rows.withColumn("__row", F.monotonically_increasing_id()))
     described = entries.groupBy("item_id").agg(
         F.sort_array(F.collect_list(F.struct(place("item", F.col("pos")).alias("place"), F.col("value").alias("value")))).alias("__item")
     )
-    known = vectors.select("item_id", unit(F.col("vector")).alias("__v"))
+    ids = durable(vectors.where(F.col("item_id").isNotNull()).select("item_id").distinct())
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_CUTS else ids
     back = F.size("hist") - F.col("__at")
     age = age_bucket(F.floor(F.col("ts_ms") / 1000) - F.unix_seconds("__event"))
-    visits = numbered.select("__row", "item_id", "ts_ms", "hist", F.posexplode("hist").alias("__at", "__h")).select(
+    # only what two vectors are known of is compared, and vectors are not joined to it: most have none, and all are wide
+    visits = numbered.select("__row", "item_id", "ts_ms", "hist").join(ids, "item_id", "left_semi").select(
+        "__row", "item_id", "ts_ms", "hist", F.posexplode("hist").alias("__at", "__h")
+    ).select(
         "__row", "item_id", F.col("__h.item_id").alias("__seen"), back.alias("__back"), "ts_ms", F.col("__h.event_ts").alias("__event")
     ).where(F.col("__back") <= HISTORY_LENGTH)
-    compared = (
-        visits.join(known.select(F.col("item_id").alias("__seen"), F.col("__v").alias("__w")), "__seen")
-        .join(known, "item_id")
-        .select("__row", "__back", age.alias("__age"), dot(F.col("__v"), F.col("__w")).alias("__like"))
+    pairs = visits.join(ids.withColumnRenamed("item_id", "__seen"), "__seen", "left_semi").select(
+        F.col("__row").alias("__number"), "__back", age.alias("__age"), "__seen", "item_id"
     )
+    known = vectors.select("item_id", unit(F.col("vector")).alias("vector"))
+    compared = in_tiles(pairs, known, _likeness, "__number long, __back int, __age int, __like double", "__seen", "item_id")
     like = F.struct(place("like", F.col("__back")).alias("place"), F.col("__like").alias("value"))
     by_age = F.struct(place("age", F.col("__age")).alias("place"), F.col("__like").alias("value"))
-    history = compared.groupBy("__row").agg(F.sort_array(F.flatten(F.collect_list(F.array(like, by_age)))).alias("__history"))
+    history = compared.groupBy(F.col("__number").alias("__row")).agg(F.sort_array(F.flatten(F.collect_list(F.array(like, by_age)))).alias("__history"))
     carried = numbered.select("__row", "item_id", F.struct(*keep).alias("__kept"))
-    whole = carried.join(described, "item_id", "left").drop("item_id").join(history, "__row", "left")
+    # the entries of an item are as wide as all the rest, so they come last
+    whole = carried.join(history, "__row", "left").drop("__row").join(described, "item_id", "left").drop("item_id")
     none = F.array().cast("array<struct<place:int,value:double>>")
     one = F.array(F.struct(place("one").alias("place"), F.lit(1.0).alias("value")))
     both = F.concat(F.coalesce("__item", none), F.coalesce("__history", none), one)
@@ -67,6 +75,23 @@ def sparse_rows(rows: DataFrame, entries: DataFrame, vectors: DataFrame, keep: S
     )
 
 
+def _likeness(part: pa.Table, left: pa.Array, right: pa.Array) -> pa.Table:
+    """Product of the two vectors of each pair; none where one is unknown, or lacks a place of the other."""
+    sides = [(side.flatten(), side.value_lengths()) for side in (left, right)]
+    lengths = pc.unique(pa.chunked_array([n for _, n in sides]))
+    if left.null_count or right.null_count or len(lengths) != 1 or any(values.null_count for values, _ in sides):
+        found = []
+        for a, b in zip(left.to_pylist(), right.to_pylist()):
+            fits = a is not None and b is not None and len(a) == len(b) and None not in a and None not in b
+            found.append(sum((x * y for x, y in zip(a, b)), 0.0) if fits else None)
+    else:
+        a, b = (values.to_numpy().reshape(len(part), -1) for values, _ in sides)
+        found = np.zeros(len(part))
+        for at in range(a.shape[1]):  # in this order, as anywhere else
+            found += a[:, at] * b[:, at]
+    return part.select(["__number", "__back", "__age"]).append_column("__like", pa.array(found, pa.float64()))
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of each entry, its place, its value)."""
     places = batch.column(batch.schema.names.index("places"))

@@ -90,3 +90,26 @@ def test_rows_without_history_vectors_or_entries(spark):
     scored = score(fit(found, "label", 1.0), found).collect()
     assert len(scored) == 3 and all(0.5 < r.score < 0.8 for r in scored)
     assert score(fit(found.limit(0), "label", 1.0), found.limit(0)).count() == 0
+
+
+def test_vectors_are_not_joined_to_the_history(spark, monkeypatch):
+    """Each pair of an item and one that was seen took both vectors through two shuffles, known or not."""
+    from ratingloom.operators import sequence_ranker
+
+    # 2 has two vectors, 4 none, 5 a null in it, 6 another length
+    vectors = [(1, [3.0, 4.0]), (2, [0.0, 2.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [1.0]), (None, [1.0, 1.0])]
+    vectors = spark.createDataFrame(vectors, "item_id long, vector array<double>")
+    rows = spark.createDataFrame(
+        [(1, 1, 0, [(i, 0) for i in (9, 2, 1, 3, None)]), (2, 9, 0, [(1, 0)]), (3, None, 0, [(1, 0)]), (4, 5, 0, [(1, 0), (6, 0)]), (5, 2, 0, [])],
+        "user_id long, item_id long, ts_ms long, seen array<struct<item_id:long,s:long>>",
+    ).withColumn("hist", F.transform("seen", lambda s: F.struct(s.item_id.alias("item_id"), F.timestamp_seconds(s.s).alias("event_ts"))))
+    none = spark.createDataFrame([], "item_id long, pos long, value double")
+    asked = []
+    tiles = sequence_ranker.in_tiles
+    monkeypatch.setattr(sequence_ranker, "in_tiles", lambda pairs, *more: (asked.append(pairs), tiles(pairs, *more))[1])
+    found = {r.user_id: list(r["values"]) for r in sparse_rows(rows, none, vectors, ["user_id"]).collect()}
+    # the constant, and twice each likeness: by place and by age
+    assert sorted(found[1]) == sorted([1.0, *[0.8] * 2, *[0.6] * 2, *[1.0] * 2, *[0.0] * 2], key=float)
+    assert found[2] == [1.0] and found[3] == [1.0] and found[5] == [1.0]
+    assert sorted(map(str, found[4])) == sorted(["1.0", *["None"] * 4])
+    assert asked[0].count() == 5 and "vector" not in asked[0].columns
